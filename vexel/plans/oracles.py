@@ -266,8 +266,7 @@ FROM ranked WHERE rank <= 10""",
     "store_append": f"""
 SELECT ingest_id, vec_id AS doc_id, 'label ' || label AS text, 64::BIGINT AS n,
        1.0::DOUBLE AS magnitude,
-       round((embedding[1] * 3.0::DOUBLE)::FLOAT::DOUBLE
-         / sqrt(list_dot_product(v, v)), 6) {_LONG_ZERO} AS first_value
+       round((v[1] / sqrt(list_dot_product(v, v)))::FLOAT::DOUBLE, 6) {_LONG_ZERO} AS first_value
 FROM (SELECT *, list_transform(embedding, lambda x: (x * 3.0::DOUBLE)::FLOAT::DOUBLE) AS v
       FROM embeddings), (VALUES ('first'), ('second')) t(ingest_id)""",
     "store_offsets": """
