@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Unicode White_Space at either end; U+200B and U+001C are not White_Space.
-_EDGE_SPACE = r"(?U)^\s+|\s+\z"
-# The White_Space characters, for strings on the driver.
+# The Unicode White_Space characters (not U+200B, not U+001C).
 _WHITE_SPACE = (
     "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -20,9 +18,13 @@ def strip_space(text: str) -> str:
 
 
 def trim_space(text: Column | str) -> Column:
-    """Strip all Unicode white space from both ends; NULL becomes empty."""
+    """Strip all Unicode white space from both ends; NULL becomes empty.
+
+    A native trim looks at the ends only; a regular expression would try every
+    white space inside the text.
+    """
     col = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.regexp_replace(col, _EDGE_SPACE, ""), F.lit(""))
+    return F.coalesce(F.btrim(col, F.lit(_WHITE_SPACE)), F.lit(""))
 
 
 def require_text(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vexel.functions.text import require_text
+from vexel.functions.text import require_text, trim_space
 
 # A chunker maps a text column to an ARRAY<STRING> column.
 Chunker = Callable[[Column], Column]
@@ -88,10 +88,17 @@ def chunk_documents(
 ) -> DataFrame:
     """(id, text) to (id, pos, chunk): trim, reject empty, chunk, explode.
 
-    Only the id and text columns are read.
+    Only the id and text columns are read.  Unless ``strict``, texts and chunk
+    lists that are empty are rejected by exploding to no rows: a filter on them
+    would be pushed down to the scan and trim and cut every text once more there.
     """
     cut = chunker or chunk_delimiter()
-    texts = require_text(docs.select(id_col, text_col), text_col, strict=strict)
-    lists = texts.select(id_col, cut(F.col(text_col)).alias("chunks"))
-    lists = require_chunks(lists, strict=strict)
-    return explode_chunks(lists, drop_empty=drop_empty)
+    texts = docs.select(id_col, text_col)
+    if strict:
+        texts = require_text(texts, text_col, strict=True)
+        lists = texts.select(id_col, cut(F.col(text_col)).alias("chunks"))
+        return explode_chunks(require_chunks(lists, strict=True), drop_empty=drop_empty)
+    texts = texts.select(id_col, trim_space(text_col).alias("text"))
+    chunks = F.when(F.col("text") != "", cut(F.col("text")))
+    rows = texts.select(id_col, F.posexplode(chunks).alias("pos", "chunk"))
+    return rows.filter(F.col("chunk") != "") if drop_empty else rows

@@ -2,30 +2,80 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.ml.functions import predict_batch_udf
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vexel.operators.kernels import ordered_dot, unit_rows
+from vexel.operators.kernels import from_matrix, ordered_dot, unit_rows
 from vexel.operators.models import EmbeddingModel, PredictFn
 from vexel.schema import VECTOR
 
+# Loaded models a Python worker keeps.
+_KEPT_MODELS = 4
+
 
-def _distinct_predict(model: EmbeddingModel) -> PredictFn:
-    """The model's function, called once per distinct text of a batch."""
-    predict, dim = model.make_predict_fn(), model.dim
+def _loaded(model: EmbeddingModel, key: str) -> PredictFn:
+    """The model's function, made once per Python worker.
+
+    Functions sent to a worker by value get fresh globals in every task, so the
+    cache is a module of the interpreter.
+    """
+    cache = sys.modules.setdefault(
+        "vexel_loaded_models", types.ModuleType("vexel_loaded_models")
+    ).__dict__.setdefault("loaded", {})
+    if key not in cache:
+        while len(cache) >= _KEPT_MODELS:
+            cache.pop(next(iter(cache)))
+        cache[key] = model.make_predict_fn()
+    return cache[key]
+
+
+def _predict(run: PredictFn, model: EmbeddingModel, texts: np.ndarray) -> np.ndarray:
+    if not len(texts):
+        return np.zeros((0, model.dim), np.float32)
+    parts = [
+        np.asarray(run(texts[lo : lo + model.batch_size]), np.float32)
+        for lo in range(0, len(texts), model.batch_size)
+    ]
+    if any(p.ndim != 2 or p.shape[1] != model.dim for p in parts):
+        raise ValueError(f"embedding vector must be of length {model.dim}")
+    vectors = np.concatenate(parts)
+    if len(vectors) != len(texts) or model.dim == 0:
+        raise ValueError("the model must return one vector per text")
+    return vectors
+
+
+def _apply(
+    df: DataFrame,
+    model: EmbeddingModel,
+    finish: Callable[[np.ndarray], np.ndarray],
+    kind: T.DataType,
+    input_col: str,
+    output_col: str,
+) -> DataFrame:
+    """Add ``finish(vectors)``; the model sees each distinct text of a batch once."""
+    key = uuid.uuid4().hex
 
-    def run(texts: np.ndarray) -> np.ndarray:
-        codes, distinct = pd.factorize(texts)
-        vectors = np.asarray(predict(np.asarray(distinct, object)), np.float32)
-        if vectors.shape != (len(distinct), dim) or dim == 0:
-            raise ValueError(f"embedding vector must be of length {dim}")
-        return vectors[codes]
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        predict = _loaded(model, key)
+        for texts in batches:
+            coded = texts.fill_null("").dictionary_encode()
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+            out = finish(_predict(predict, model, distinct))
+            out = out[coded.indices.to_numpy()]
+            yield from_matrix(out) if out.ndim == 2 else pa.array(out)
 
-    return run
+    # Marked so that no later filter or projection is merged with it and runs the
+    # model a second time; an unused column is still pruned.
+    return df.withColumn(output_col, run.asNondeterministic()(F.col(input_col)))
 
 
 def embed(
@@ -38,21 +88,11 @@ def embed(
 ) -> DataFrame:
     """Add the model's vector for each text; ``unit`` also normalises it.
 
-    The model is loaded once per Python worker.  The vector is a column of the
-    same row, so a chunk and its embedding cannot drift apart.
+    The vector is a column of the same row, so a chunk and its embedding cannot
+    drift apart.
     """
-
-    def make():
-        run = _distinct_predict(model)
-
-        def predict(texts):
-            vectors = run(texts)
-            return unit_rows(vectors) if unit else vectors
-
-        return predict
-
-    udf = predict_batch_udf(make, return_type=VECTOR, batch_size=model.batch_size)
-    return df.withColumn(output_col, udf(F.coalesce(F.col(input_col), F.lit(""))))
+    finish = unit_rows if unit else (lambda vectors: vectors)
+    return _apply(df, model, finish, VECTOR, input_col, output_col)
 
 
 def embed_score(
@@ -71,16 +111,7 @@ def embed_score(
         raise ValueError("dot: vectors are not of same size")
     query = np.array(query_vector, np.float32)
 
-    def make():
-        run = _distinct_predict(model)
-
-        def predict(texts):
-            vectors = unit_rows(run(texts))
-            return ordered_dot(vectors, np.broadcast_to(query, vectors.shape))
-
-        return predict
+    def finish(vectors: np.ndarray) -> np.ndarray:
+        return ordered_dot(unit_rows(vectors), np.broadcast_to(query, vectors.shape))
 
-    udf = predict_batch_udf(
-        make, return_type=T.DoubleType(), batch_size=model.batch_size
-    )
-    return df.withColumn(output_col, udf(F.coalesce(F.col(input_col), F.lit(""))))
+    return _apply(df, model, finish, T.DoubleType(), input_col, output_col)

@@ -17,6 +17,13 @@ def to_matrix(vectors: pa.Array, dim: int) -> np.ndarray:
     return flat.astype(np.float32, copy=False).reshape(len(vectors), dim)
 
 
+def from_matrix(x: np.ndarray) -> pa.Array:
+    """A (rows, dim) matrix as an Arrow list column."""
+    rows, dim = x.shape
+    ends = np.arange(0, rows * dim + 1, dim, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))
+
+
 def ordered_dot(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Row-wise dot product, added up in double and in index order.
 

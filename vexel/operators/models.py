@@ -23,7 +23,7 @@ class EmbeddingModel(ABC):
     """Contract of a pluggable model."""
 
     dim: int
-    batch_size: int = 4096
+    batch_size: int = 16_384
 
     @abstractmethod
     def make_predict_fn(self) -> PredictFn: ...
@@ -53,15 +53,12 @@ class HashingModel(EmbeddingModel):
             # Each distinct token of the batch is hashed once.
             coded = parts.flatten().dictionary_encode()
             words = coded.dictionary.to_pylist()
-            digests = [hashlib.md5(w.encode("utf-8")).hexdigest() for w in words]
-            bucket = np.array([int(h[:8], 16) % dim for h in digests], np.int64)
+            digests = b"".join(hashlib.md5(w.encode("utf-8")).digest() for w in words)
+            raw = np.frombuffer(digests, np.uint8).reshape(len(words), 16)
+            bucket = raw[:, :4].copy().view(">u4").ravel().astype(np.int64) % dim
+            sign = np.where(raw[:, 4] >> 4 & 1, -1.0, 1.0)
             # An empty piece at either end of a text is not a token.
-            sign = np.array(
-                [
-                    0.0 if not w else 1.0 if int(h[8], 16) % 2 == 0 else -1.0
-                    for w, h in zip(words, digests)
-                ]
-            )
+            sign[pc.equal(coded.dictionary, "").to_numpy(zero_copy_only=False)] = 0.0
             code = coded.indices.to_numpy()
             sums = np.bincount(
                 row * dim + bucket[code],

@@ -46,14 +46,18 @@ def top_k(
     """
     if k < 0:
         raise ValueError("k must not be negative")
-    real = scored.filter(~F.isnan(score) & F.col(score).isNotNull())
-    order = [F.desc(score), *(F.asc(t) for t in ties)]
+    # NaN and NULL sort last and are dropped after the cut.  A filter before it
+    # would be pushed below a scoring UDF's projection and call the UDF twice.
+    real = F.when(~F.isnan(score), F.col(score))
+    order = [F.desc_nulls_last(real), *(F.asc(t) for t in ties)]
     if by:
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-        return real.withColumn("rank", rank).filter(F.col("rank") <= k)
-    # Per-task top k, then a merge of the survivors; the rank window sees k rows.
-    best = real.orderBy(*order).limit(k)
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+        best = scored.withColumn("rank", rank).filter(F.col("rank") <= k)
+    else:
+        # Per-task top k, then a merge of the survivors; the window sees k rows.
+        best = scored.orderBy(*order).limit(k)
+        best = best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return best.filter(F.col(score).isNotNull() & ~F.isnan(score))
 
 
 def _score_partitions(

@@ -49,4 +49,5 @@ def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *keys)
+    # Twice the cores, since texts differ in size.
+    return df.repartition(2 * cores, *keys)

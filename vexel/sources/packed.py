@@ -20,6 +20,7 @@ from pyspark.sql.datasource import (
 )
 
 from vexel import schema
+from vexel.operators.kernels import from_matrix, to_matrix
 
 FORMAT = "packed_vectors"
 DEFAULT_SPLIT_BYTES = 64 << 20
@@ -93,11 +94,8 @@ class _PackedReader(DataSourceReader):
 
 def _packed_batch(raw: bytes, first_pos: int, dim: int) -> pa.RecordBatch:
     values = np.frombuffer(raw, "<f4").astype(np.float32, copy=False)
-    n = len(values) // dim
-    vectors = pa.ListArray.from_arrays(
-        pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)), pa.array(values)
-    )
-    pos = pa.array(np.arange(first_pos, first_pos + n, dtype=np.int64))
+    vectors = from_matrix(values.reshape(-1, dim))
+    pos = pa.array(np.arange(first_pos, first_pos + len(vectors), dtype=np.int64))
     return pa.RecordBatch.from_arrays([pos, vectors], names=["pos", "embedding"])
 
 
@@ -124,12 +122,7 @@ class _PackedWriter(DataSourceArrowWriter):
         staged = f"{folder}/{uuid.uuid4().hex}"
         with filesystem.open_output_stream(staged) as stream:
             for batch in iterator:
-                vectors = batch.column("embedding")
-                if vectors.null_count or (
-                    np.diff(vectors.offsets.to_numpy()) != self.dim
-                ).any():
-                    raise ValueError(f"embedding vector must be of length {self.dim}")
-                values = vectors.flatten().to_numpy(zero_copy_only=False)
+                values = to_matrix(batch.column("embedding"), self.dim)
                 stream.write(values.astype("<f4", copy=False).tobytes())
         return _Written(staged, name)
 

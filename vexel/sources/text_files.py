@@ -12,7 +12,8 @@ def read_text_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     """One row per file: (path, text, ...partition columns).
 
     Paths may be folders or globs.  Invalid UTF-8 becomes U+FFFD; everything
-    else, line ends included, is kept.  A missing path is an error.
+    else, line ends included, is kept.  A missing path is an error.  Spark skips
+    files of length 0, which hold no text to embed.
     """
     wanted = [paths] if isinstance(paths, str) else list(paths)
     cleaned = [p.strip() for p in wanted]
