@@ -39,11 +39,21 @@ def truncate_ids(
     return F.when(F.size(items) <= max_len, items).otherwise(cut)
 
 
-def pad_ids(items: Column | str, pad_to: int, value: int | str = PAD_ID) -> Column:
-    """Right-pad to ``pad_to``; a longer array stays as it is."""
+def pad_ids(
+    items: Column | str,
+    pad_to: int,
+    value: int | str = PAD_ID,
+    *,
+    size: Column | str | None = None,
+) -> Column:
+    """Right-pad to ``pad_to``; a longer array stays as it is.
+
+    ``size``, if it is known as a column, saves evaluating ``items`` twice.
+    """
     items = _col(items)
+    n = F.size(items) if size is None else _col(size)
     fill = F.lit(value) if isinstance(value, str) else F.lit(value).cast("bigint")
-    missing = F.greatest(F.lit(pad_to) - F.size(items), F.lit(0))
+    missing = F.greatest(F.lit(pad_to) - n, F.lit(0))
     return F.concat(items, F.array_repeat(fill, missing))
 
 

@@ -132,9 +132,10 @@ def encode_tokens(
         "length", F.greatest("n_tokens", F.lit(pad_to)).cast("bigint")
     )
     length = F.col("length").cast("int")
+    n = F.col("n_tokens")
     return (
-        padded.withColumn("input_ids", pad_ids(input_ids, pad_to, special.pad))
-        .withColumn("tokens", pad_ids(words, pad_to, PAD_TOKEN))
+        padded.withColumn("input_ids", pad_ids(input_ids, pad_to, special.pad, size=n))
+        .withColumn("tokens", pad_ids(words, pad_to, PAD_TOKEN, size=n))
         .withColumn("attention_mask", attention_mask("n_tokens", length))
         .withColumn("token_type_ids", type_ids(length))
         .drop("body", "ids")

@@ -67,6 +67,11 @@ def _place_in_group(group: np.ndarray) -> np.ndarray:
     return np.arange(len(group)) - np.repeat(first, np.diff(np.r_[first, len(group)]))
 
 
+def _true_cells(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """np.nonzero of a matrix, by way of its much faster flat form."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
+
+
 class TopK:
     """The k best (score, position) pairs of each query seen so far.
 
@@ -137,9 +142,9 @@ class TopK:
             keep = ~(rough < low)
             if keep.sum() > 8 * self.k * keep.shape[1] + len(x):
                 kept = drop_excess_copies(x, pos, self.k)
-                rows, cols = np.nonzero(keep[kept])
+                rows, cols = _true_cells(keep[kept])
                 return kept[rows], cols
-        return np.nonzero(keep)
+        return _true_cells(keep)
 
     def _merge(self, query: np.ndarray, score: np.ndarray, pos: np.ndarray) -> None:
         real = ~np.isnan(score)
