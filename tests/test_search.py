@@ -101,6 +101,15 @@ def test_kernel_with_a_third_of_copies():
     assert kernel(x, queries, pos, 7, 1000) == brute(x, queries, pos, 7)
 
 
+def test_kernel_with_zero_queries():
+    x = np.array([[1.0, 2.0], [NAN, 1.0], [0.0, 0.0], [3.0, 4.0]], np.float32)
+    queries = np.zeros((2, 2), np.float32)
+    queries[1] = [1.0, 0.0]
+    pos = np.array([7, 1, 5, 3], np.int64)
+    for batch in (1, 2, 4):
+        assert kernel(x, queries, pos, 2, batch) == brute(x, queries, pos, 2)
+
+
 def test_copies_are_cut_to_the_lowest_positions():
     x = np.array([[1.0], [2.0], [1.0], [1.0]], np.float32)
     left = drop_excess_copies(x, np.array([9, 5, 3, 4]), 2)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of, vectors_df
 from vexel.operators.numbering import assign_offsets
 from vexel.operators.search import attach_text
+from vexel.plans.transfer import export_store, import_store
 from vexel.session import spread_if_narrow, work_dir
 from vexel.sources.journal import read_journal, write_journal
 from vexel.sources.packed import read_packed_vectors, write_packed_vectors
@@ -218,6 +219,22 @@ def test_journal_round_trip(spark, tmp_path):
     assert [r.text for r in got] == [t or "" for t in texts]
 
 
+def test_transfer(spark, tmp_path):
+    first, copy = str(tmp_path / "store"), str(tmp_path / "copy")
+    many = [(i, f"text {i}", {i: 2.0, i + 1: 1.0}) for i in range(30)]
+    append_store(rows(spark, *many), first, 384)
+    store = read_store(spark, first)
+    out = (str(tmp_path / "vectors"), str(tmp_path / "journal"))
+    export_store(store, *out, 384)
+    import_store(spark, *out, copy, 384)
+    cols = ["pos", "offset", "text", "embedding"]
+    back = read_store(spark, copy).select(cols)
+    assert back.count() == 30
+    assert back.exceptAll(store.select(cols)).count() == 0
+    with pytest.raises(FileExistsError):
+        import_store(spark, *out, copy, 384)
+
+
 def test_work_dir_is_below_the_configured_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark, "x"), work_dir(spark, "x")

@@ -140,8 +140,17 @@ class TopK:
             # Written so that NaN and overflowed products stay in and are judged
             # by their exact score.
             keep = ~(rough < low)
+            null = np.flatnonzero(self.norms[part] == 0)
+            if len(null):
+                # A zero query scores 0 against every finite row: all tie, and the
+                # lowest positions win.
+                keep[:, null] = False
+                lowest = np.flatnonzero(np.isfinite(norms))
+                lowest = lowest[np.argsort(pos[lowest], kind="stable")[: self.k]]
+                keep[np.ix_(lowest, null)] = True
             if keep.sum() > 8 * self.k * keep.shape[1] + len(x):
-                kept = drop_excess_copies(x, pos, self.k)
+                hot = np.flatnonzero(keep.any(axis=1))
+                kept = hot[drop_excess_copies(x[hot], pos[hot], self.k)]
                 rows, cols = _true_cells(keep[kept])
                 return kept[rows], cols
         return _true_cells(keep)

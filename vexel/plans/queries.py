@@ -15,6 +15,7 @@ from vexel.operators.encoding import encode_tokens
 from vexel.operators.models import HashingModel
 from vexel.plans.ingest import embedded_chunks, ingest
 from vexel.plans.semantic import search_documents
+from vexel.plans.transfer import export_store, import_store
 from vexel.session import spread_if_narrow, work_dir
 from vexel.sources.journal import read_journal, write_journal
 from vexel.sources.packed import read_packed_vectors, write_packed_vectors
@@ -114,7 +115,7 @@ def require_chunks(spark, sf_dir):
 def vocabulary(spark, sf_dir) -> DataFrame:
     """(token, id): the 30,000 most frequent words of the documents."""
     docs = spread_if_narrow(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"
+        table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text"
     )
     words = docs.select(F.explode(tk.split_tokens("text")).alias("token"))
     counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
@@ -138,7 +139,7 @@ def _encoded_row(df: DataFrame, *key: str) -> DataFrame:
 
 def encode_tokens_query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = spread_if_narrow(docs, "doc_id")
+    docs = spread_if_narrow(docs, "doc_id", "text")
     coded = encode_tokens(docs, vocabulary(spark, sf_dir), key=["doc_id"])
     return _encoded_row(coded, "doc_id")
 
@@ -162,7 +163,7 @@ def truncate_pad_mask(spark, sf_dir):
 
 def hash_embed(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = embed(spread_if_narrow(docs, "doc_id"), MODEL, "text")
+    out = embed(spread_if_narrow(docs, "doc_id", "text"), MODEL, "text")
     return long_form(out, "doc_id", "embedding")
 
 
@@ -395,6 +396,22 @@ def journal_roundtrip(spark, sf_dir):
     return srch.attach_text(emb, journal, emb.count()).select("pos", "text")
 
 
+def store_transfer(spark, sf_dir):
+    """A store exported to packed vectors and a journal, and imported again."""
+    root = work_dir(spark, "transfer")
+    append_store(_stored_rows(spark, sf_dir), f"{root}/store", DIM)
+    store = read_store(spark, f"{root}/store")
+    export_store(store, f"{root}/vectors", f"{root}/journal", DIM)
+    import_store(spark, f"{root}/vectors", f"{root}/journal", f"{root}/copy", DIM)
+    both = store.join(read_store(spark, f"{root}/copy").alias("c"), "pos")
+    return both.select(
+        "pos",
+        "c.offset",
+        (store["text"] == F.col("c.text")).alias("same_text"),
+        (store["embedding"] == F.col("c.embedding")).alias("same_vector"),
+    )
+
+
 # Reports
 
 
@@ -455,6 +472,7 @@ def all_queries() -> dict:
         store_clear,
         packed_roundtrip,
         journal_roundtrip,
+        store_transfer,
         ingest_report,
         ingest_lines,
         search_report,

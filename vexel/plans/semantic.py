@@ -33,7 +33,7 @@ def search_documents(
     if not query:
         raise ValueError("query cannot be empty")
     vector = unit_vector(model, query)
-    texts = spread_if_narrow(docs.select("doc_id", "text"), "doc_id")
+    texts = spread_if_narrow(docs.select("doc_id", "text"), "doc_id", "text")
     chunks = chunk_documents(texts, chunker)
     scored = embed_score(chunks, model, vector)
     if score_digits is not None:

@@ -42,7 +42,8 @@ def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
 
     A handful of files, or files of one row group each, would leave most cores
     idle during CPU-heavy work.  Such an input is at most a few splits, so the
-    shuffle is cheap; a wide scan is returned as it is and never shuffled.
+    shuffle is cheap; a wide scan is returned as it is and never shuffled.  Name
+    enough ``keys`` that no value of them is frequent.
     ``df`` should be a scan with narrow steps on top.  The partition number is
     fixed and the keys are data, so two evaluations agree partition by partition.
     """

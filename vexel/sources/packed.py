@@ -25,6 +25,8 @@ from vexel.operators.kernels import from_matrix, to_matrix
 FORMAT = "packed_vectors"
 DEFAULT_SPLIT_BYTES = 64 << 20
 _BATCH_BYTES = 4 << 20
+# More data than this many splits gets larger ones: the driver lists them all.
+_MAX_SPLITS = 50_000
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
@@ -63,9 +65,10 @@ class _PackedReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         width = schema.record_bytes(self.dim)
-        per_split = max(1, self.split_bytes // width)
         filesystem, root = _open(self.path)
         files = _data_files(filesystem, root)
+        total = sum(f.size for f in files)
+        per_split = max(1, max(self.split_bytes, total // _MAX_SPLITS) // width)
         ranges: list[InputPartition] = []
         pos = 0
         for number, file in enumerate(files):

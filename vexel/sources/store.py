@@ -61,16 +61,21 @@ def append_store(
     if not unit:
         checked = checked.withColumn("embedding", normalise("embedding"))
     numbered = assign_offsets(checked, dim, start)
-    table = numbered.withColumn("ingest_id", F.lit(ingest_id).cast("string")).select(
-        *(F.col(f.name).cast(f.dataType) for f in schema.STORE)
-    )
+    numbered = numbered.withColumn("ingest_id", F.lit(ingest_id))
     if observation is not None:
-        table = table.observe(
+        numbered = numbered.observe(
             observation,
             F.count(F.lit(1)).alias("n_chunks"),
             F.min(F.size("embedding")).alias("min_len"),
             F.max(F.size("embedding")).alias("max_len"),
         )
+    write_rows(numbered, path)
+    return True
+
+
+def write_rows(rows: DataFrame, path: str) -> None:
+    """Append rows that have all columns of the store."""
+    table = rows.select(*(F.col(f.name).cast(f.dataType) for f in schema.STORE))
     (
         table.write.mode("append")
         # Files appear only when the whole job commits.
@@ -79,7 +84,6 @@ def append_store(
         .option("parquet.enable.dictionary#embedding.list.element", "false")
         .parquet(path)
     )
-    return True
 
 
 def clear_store(spark: SparkSession, path: str) -> None:
