@@ -254,7 +254,8 @@ def search(
     """Top k of ``store (pos, embedding, text)`` for each text query.
 
     ``queries`` is (query_id, query).  Returns (query_id, rank, score, pos, text).
-    Scoring reads positions and vectors only; texts are fetched for the hits.
+    Scoring reads positions and vectors only; texts are fetched for the hits.  The
+    scoring runs at once, since the scan for texts depends on the hits.
     """
     vectors = embed_queries(queries, model, strict=strict)
     hits, n = _search(store, vectors, model.dim, k, max_query_bytes)

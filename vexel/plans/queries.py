@@ -432,7 +432,7 @@ def ingest_lines(spark, sf_dir):
 
 
 def search_report(spark, sf_dir):
-    """Hits per text query, over the label means as the store's vectors."""
+    """Hits per text query, over the embeddings table as the store."""
     queries = _language_queries(spark, sf_dir)
     store = vectors(spark, sf_dir)
     hits = srch.search_batch(store, srch.embed_queries(queries, MODEL), DIM)

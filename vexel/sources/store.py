@@ -49,11 +49,12 @@ def append_store(
     start = 0
     if paths.exists(spark, path):
         store = read_store(spark, path)
-        if ingest_id is not None:
-            mine = store.filter(F.col("ingest_id") == ingest_id)
-            if mine.limit(1).count():
-                return False
-        start = last_offset(store)
+        start, known = store.agg(
+            F.coalesce(F.max("offset"), F.lit(0)),
+            F.coalesce(F.bool_or(F.col("ingest_id") == F.lit(ingest_id)), F.lit(False)),
+        ).first()
+        if known:
+            return False
         first = store.select(F.size("embedding").alias("n")).first()
         if first is not None and first["n"] != dim:
             raise ValueError(f"store holds vectors of length {first['n']}, not {dim}")
