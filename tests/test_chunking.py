@@ -97,3 +97,5 @@ def test_text_is_trimmed_and_cut_once(spark, sf_dir):
     assert plan.count("split(") == 1 and plan.count("trim(") == 1
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
     assert "Exchange" not in plan
+    strict = plan_of(ck.chunk_documents(table, strict=True))
+    assert strict.count("split(") == 1 and strict.count("trim(") == 1

@@ -93,5 +93,5 @@ def test_mean_pool_rows_combines_before_the_shuffle(spark):
 
 def test_normalise_binds_the_magnitude_once(spark):
     df = spark.createDataFrame([([3.0, 4.0],)], "v array<float>").repartition(1)
-    plan = df.select(vec.normalise(F.col("v")))._jdf.queryExecution().optimizedPlan()
+    plan = df.select(vec.normalise(F.col("v")).alias("u"))._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("aggregate(") == 1

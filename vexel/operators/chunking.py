@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vexel.functions.text import require_text, trim_space
+from vexel.functions.text import trim_space
 
 # A chunker maps a text column to an ARRAY<STRING> column.
 Chunker = Callable[[Column], Column]
@@ -55,16 +55,19 @@ def python_chunker(fn: Callable[[str], Sequence[str]]) -> Chunker:
     return lambda text: run(text)
 
 
+def _checked_chunks(chunks: Column) -> Column:
+    message = F.lit("chunker produced no chunks")
+    return F.when(F.size(chunks) > 0, chunks).otherwise(
+        F.raise_error(message).cast("array<string>")
+    )
+
+
 def require_chunks(
     df: DataFrame, col: str = "chunks", *, strict: bool = False
 ) -> DataFrame:
     """Drop rows whose chunk list is empty, or fail on the first one if strict."""
     if strict:
-        message = F.lit("chunker produced no chunks")
-        checked = F.when(F.size(col) > 0, F.col(col)).otherwise(
-            F.raise_error(message).cast("array<string>")
-        )
-        return df.withColumn(col, checked)
+        return df.withColumn(col, _checked_chunks(F.col(col)))
     return df.filter(F.size(col) > 0)
 
 
@@ -88,17 +91,19 @@ def chunk_documents(
 ) -> DataFrame:
     """(id, text) to (id, pos, chunk): trim, reject empty, chunk, explode.
 
-    Only the id and text columns are read.  Unless ``strict``, texts and chunk
-    lists that are empty are rejected by exploding to no rows: a filter on them
-    would be pushed down to the scan and trim and cut every text once more there.
+    Only the id and text columns are read.  Empty texts and empty chunk lists
+    explode to no rows, or fail if ``strict``.  There is no filter on them, and the
+    list is no column of its own: the optimiser would push such a condition to the
+    scan and trim and cut every text once more there.
     """
     cut = chunker or chunk_delimiter()
-    texts = docs.select(id_col, text_col)
+    text = F.col("text")
+    texts = docs.select(id_col, trim_space(text_col).alias("text"))
+    chunks = F.when(text != "", cut(text))
     if strict:
-        texts = require_text(texts, text_col, strict=True)
-        lists = texts.select(id_col, cut(F.col(text_col)).alias("chunks"))
-        return explode_chunks(require_chunks(lists, strict=True), drop_empty=drop_empty)
-    texts = texts.select(id_col, trim_space(text_col).alias("text"))
-    chunks = F.when(F.col("text") != "", cut(F.col("text")))
+        no_text = F.raise_error(F.lit("no text provided to embed"))
+        chunks = chunks.otherwise(no_text.cast("array<string>"))
+        # Bound as a lambda variable, to cut once.
+        chunks = F.get(F.transform(F.array(chunks), _checked_chunks), F.lit(0))
     rows = texts.select(id_col, F.posexplode(chunks).alias("pos", "chunk"))
     return rows.filter(F.col("chunk") != "") if drop_empty else rows

@@ -30,7 +30,8 @@ _MAX_SPLITS = 50_000
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path)
+    # Spark's name for the object store that Arrow calls s3.
+    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 def _data_files(filesystem: pafs.FileSystem, root: str) -> list[pafs.FileInfo]:
