@@ -188,7 +188,8 @@ SENTENCES = ["The cat sat", "", "The É dog, the the!", "cat " * 20, None]
 
 
 def sentences(spark):
-    return spark.createDataFrame(list(enumerate(SENTENCES)), "k int, text string")
+    rows = [(i if i else None, t) for i, t in enumerate(SENTENCES)]
+    return spark.createDataFrame(rows, "k int, text string")
 
 
 def encoded(spark, **options):

@@ -115,7 +115,10 @@ def encode_tokens(
         ided = bodies.withColumn("ids", _lookup(small, special.unk)("body"))
     else:
         ids = _join_ids(bodies, vocab, key, special.unk, salt)
-        ided = bodies.join(ids, list(key))
+        # NULL is a key value like any other.
+        theirs = ids.select(*(F.col(k).alias(f"__{k}") for k in key), "ids")
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key]
+        ided = bodies.join(theirs, same).drop(*(f"__{k}" for k in key))
     words = F.zip_with(
         "body", "ids", lambda t, i: F.when(i == special.unk, "[UNK]").otherwise(t)
     )

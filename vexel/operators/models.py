@@ -52,8 +52,8 @@ class HashingModel(EmbeddingModel):
             row = pc.list_parent_indices(parts).to_numpy()
             # Each distinct token of the batch is hashed once.
             coded = parts.flatten().dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            digests = b"".join(hashlib.md5(w.encode("utf-8")).digest() for w in words)
+            words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+            digests = b"".join([hashlib.md5(w).digest() for w in words])
             raw = np.frombuffer(digests, np.uint8).reshape(len(words), 16)
             bucket = raw[:, :4].copy().view(">u4").ravel().astype(np.int64) % dim
             sign = np.where(raw[:, 4] >> 4 & 1, -1.0, 1.0)
