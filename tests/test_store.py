@@ -10,7 +10,7 @@ from tests.conftest import plan_of, vectors_df
 from vexel.operators.numbering import assign_offsets
 from vexel.operators.search import attach_text
 from vexel.plans.transfer import export_store, import_store
-from vexel.session import spread_if_narrow, work_dir
+from vexel.session import spread_if_narrow, work_dir, work_root
 from vexel.sources.journal import read_journal, write_journal
 from vexel.sources.packed import read_packed_vectors, write_packed_vectors
 from vexel.sources.store import append_store, clear_store, last_offset, read_store
@@ -241,6 +241,23 @@ def test_work_dir_is_below_the_configured_folder(spark):
     assert first.startswith(root + "/") and first != second
 
 
+class FakeConf(dict):
+    def set(self, key, value):
+        self[key] = value
+
+
+class FakeSession:
+    def __init__(self, **conf):
+        self.conf = FakeConf({k.replace("_", "."): v for k, v in conf.items()})
+
+
+def test_work_dir_without_a_configured_folder():
+    local = FakeSession(spark_master="local[2]")
+    assert work_root(local) == work_root(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_root(FakeSession(spark_master="spark://host:7077"))
+
+
 def test_spread(spark):
     narrow = spark.range(0, 100, 1, 1)
     assert spread_if_narrow(narrow, "id").rdd.getNumPartitions() == 8
