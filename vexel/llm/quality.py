@@ -251,10 +251,12 @@ WITH w AS (
                 lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM documents
 ), g AS (
-  SELECT doc_id, unnest(range(1, len(ws) - 1)) AS p, ws FROM w WHERE len(ws) >= 3
+  SELECT doc_id, unnest(range(1, len(ws) - 1)) AS p,
+    unnest(list_zip(ws[:-3], ws[2:-2], ws[3:])) AS win
+  FROM w WHERE len(ws) >= 3
 ), n AS (
   SELECT doc_id, p,
-    count(*) OVER (PARTITION BY doc_id, ws[p], ws[p + 1], ws[p + 2]) AS times
+    count(*) OVER (PARTITION BY doc_id, win) AS times
   FROM g
 ), r AS (
   SELECT doc_id, count(DISTINCT q) AS k

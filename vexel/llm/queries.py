@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vexel.llm.langid import op9_language_id
+from vexel.llm.packing import op1_packing
 from vexel.llm.quality import OP8_SQL, op8_quality_rules
+from vexel.llm.simhash import op3_simhash
+from vexel.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {
