@@ -10,6 +10,7 @@ from vexel.llm.langid import op9_language_id
 from vexel.llm.packing import op1_packing
 from vexel.llm.quality import OP8_SQL, op8_quality_rules
 from vexel.llm.simhash import op3_simhash
+from vexel.llm.token_codes import op10_token_codes
 from vexel.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_token_codes": op10_token_codes,
 }
 
 ORACLES: dict[str, str] = {
