@@ -9,19 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from vexel.llm.langid import op9_language_id
 from vexel.llm.packing import op1_packing
 from vexel.llm.quality import OP8_SQL, op8_quality_rules
+from vexel.llm.secret_scan import op7_secret_scan
 from vexel.llm.simhash import op3_simhash
 from vexel.llm.token_codes import op10_token_codes
 from vexel.llm.toxicity import op4_toxicity
+from vexel.llm.warc import OP6_SQL, op6_warc_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
+    "op6_warc_revisits": op6_warc_revisits,
+    "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_token_codes": op10_token_codes,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_warc_revisits": OP6_SQL,
     "op8_quality_rules": OP8_SQL,
 }

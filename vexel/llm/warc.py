@@ -196,14 +196,13 @@ def crawl_records(pages: DataFrame) -> DataFrame:
     entity tag, some a stale one, some only a date, some nothing.
     """
     p = F.col("page_id")
-    tag = F.concat(F.lit('"'), F.crc32(F.col("html").cast("binary")).cast("string"), F.lit('"'))
+    html = F.coalesce("html", F.lit(""))
     base = pages.select(
         p.alias("n"),
         "url",
-        tag.alias("tag"),
-        F.crc32(F.col("html").cast("binary")).alias("payload_crc"),
-        F.length("html").cast("bigint").alias("payload_chars"),
-    )
+        F.md5(html).alias("payload_md5"),
+        F.length(html).cast("bigint").alias("payload_chars"),
+    ).withColumn("tag", F.concat(F.lit('"'), F.col("payload_md5"), F.lit('"')))
     response = base.select(
         (F.col("n") * 2).alias("record_id"),
         F.lit("response").alias("kind"),
@@ -219,7 +218,7 @@ def crawl_records(pages: DataFrame) -> DataFrame:
             F.lit("Cache-Control"),
             F.lit("max-age=60"),
         ).alias("headers"),
-        "payload_crc",
+        "payload_md5",
         "payload_chars",
     )
     n = F.col("n")
@@ -243,7 +242,7 @@ def crawl_records(pages: DataFrame) -> DataFrame:
                 F.create_map(F.lit("etag"), F.concat(F.lit("W/"), F.col("tag")))
             ),
         ).alias("headers"),
-        F.lit(None).cast("bigint").alias("payload_crc"),
+        F.lit(None).cast("string").alias("payload_md5"),
         F.lit(None).cast("bigint").alias("payload_chars"),
     )
     return response.unionByName(revisit)
@@ -252,7 +251,7 @@ def crawl_records(pages: DataFrame) -> DataFrame:
 def op6_warc_revisits(spark, sf_dir: str) -> DataFrame:
     """Every record of the derived crawl, resolved; headers as sorted text."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    found = resolve_revisits(crawl_records(pages), ("payload_crc", "payload_chars"))
+    found = resolve_revisits(crawl_records(pages), ("payload_md5", "payload_chars"))
     text = F.array_join(
         F.array_sort(
             F.transform(
@@ -267,14 +266,16 @@ def op6_warc_revisits(spark, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH base AS (
-  SELECT page_id AS n, url, coalesce(html, '') AS html,
-    length(html)::BIGINT AS chars FROM pages
+  SELECT page_id AS n, url, md5(coalesce(html, '')) AS tag,
+    length(coalesce(html, ''))::BIGINT AS chars FROM pages
 ), records AS (
-  SELECT n * 2 AS record_id, 'response' AS kind, url, n * 60 AS date, n, chars, 1 AS turn
+  SELECT n * 2 AS record_id, 'response' AS kind, url, n * 60 AS date, n, tag, chars,
+    1 AS turn
   FROM base
   UNION ALL
   SELECT n * 2 + 1, 'revisit', url,
-    CASE WHEN n % 13 = 0 THEN n * 60 - 1 ELSE n * 60 + (n * 37) % 400 + 1 END, n, chars, 0
+    CASE WHEN n % 13 = 0 THEN n * 60 - 1 ELSE n * 60 + (n * 37) % 400 + 1 END,
+    n, tag, chars, 0
   FROM base
 ), cut AS (
   SELECT *,
@@ -296,18 +297,30 @@ WITH base AS (
     PARTITION BY url_key ORDER BY date, turn, record_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m
   FROM keyed
-), tagged AS (
-  SELECT f.*, s.chars AS source_chars, s.html = o.html AS same
-  FROM found f LEFT JOIN base s ON s.n = f.m JOIN base o ON o.n = f.n
 ), states AS (
-  SELECT *, CASE WHEN turn = 1 THEN 'full' WHEN m IS NULL THEN 'orphan'
-    WHEN n % 11 = 0 THEN 'unchecked' WHEN n % 7 = 0 THEN 'mismatch'
-    WHEN n % 5 = 0 THEN CASE WHEN m = n THEN 'resolved' ELSE 'mismatch' END
-    WHEN same THEN 'resolved' ELSE 'mismatch' END AS state
-  FROM tagged
+  SELECT f.*, s.chars AS source_chars, s.tag AS source_tag,
+    CASE WHEN turn = 1 THEN 'full' WHEN m IS NULL THEN 'orphan'
+    WHEN f.n % 11 = 0 THEN 'unchecked' WHEN f.n % 7 = 0 THEN 'mismatch'
+    WHEN f.n % 5 = 0 THEN CASE WHEN m = f.n THEN 'resolved' ELSE 'mismatch' END
+    WHEN s.tag = f.tag THEN 'resolved' ELSE 'mismatch' END AS state,
+    CASE WHEN f.n % 11 = 0 THEN NULL WHEN f.n % 7 = 0 THEN '"stale"'
+    WHEN f.n % 5 = 0 THEN NULL ELSE 'W/"' || f.tag || '"' END AS check_tag,
+    CASE WHEN f.n % 5 = 0 AND f.n % 7 <> 0 AND f.n % 11 <> 0 THEN f.n END AS check_date
+  FROM found f LEFT JOIN base s ON s.n = f.m
 )
 SELECT record_id, kind, date, url_key, state,
   CASE WHEN state IN ('resolved', 'unchecked') THEN m * 2 END AS source_id,
+  CASE WHEN turn = 1 THEN 'cache-control: max-age=60; content-length: ' || chars
+      || '; etag: "' || tag || '"; last-modified: ' || n
+    WHEN state IN ('resolved', 'unchecked') THEN
+      'cache-control: max-age=90; content-length: ' || source_chars || '; etag: '
+      || coalesce(check_tag, '"' || source_tag || '"')
+      || '; last-modified: ' || coalesce(check_date, m)
+    ELSE 'cache-control: max-age=90; content-length: 0'
+      || coalesce('; etag: ' || check_tag, '')
+      || coalesce('; last-modified: ' || check_date, '') END AS headers,
+  CASE WHEN turn = 1 THEN tag WHEN state IN ('resolved', 'unchecked')
+    THEN source_tag END AS payload_md5,
   CASE WHEN turn = 1 THEN chars WHEN state IN ('resolved', 'unchecked')
     THEN source_chars END AS payload_chars
 FROM states
