@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vexel.llm.langid import op9_language_id
+from vexel.llm.line_dedup import op2_line_dedup
 from vexel.llm.packing import op1_packing
 from vexel.llm.quality import OP8_SQL, op8_quality_rules
 from vexel.llm.secret_scan import op7_secret_scan
@@ -17,6 +18,7 @@ from vexel.llm.warc import OP6_SQL, op6_warc_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_line_dedup": op2_line_dedup,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op6_warc_revisits": op6_warc_revisits,
