@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vexel.llm.decontaminate import op5_decontamination
 from vexel.llm.langid import op9_language_id
 from vexel.llm.line_dedup import op2_line_dedup
 from vexel.llm.packing import op1_packing
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op6_warc_revisits": op6_warc_revisits,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
