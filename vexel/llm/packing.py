@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vexel.llm.common import steps, text_column
-from vexel.llm.word_tokens import encoder
+from vexel.llm.word_tokens import ENCODE_BYTES, encoder
 
 #: Items that wait for a bin in each task.
 WAITING = 1_024
@@ -254,7 +254,7 @@ def pack_texts(
                 out = _Rows(key, key_type, packer, TaskContext.get().partitionId())
             texts = text_column(batch, "__text")
             keys = batch.column(key).to_pylist()
-            for a, b in steps(texts):
+            for a, b in steps(texts, ENCODE_BYTES):
                 ids, at = words.encode(texts.slice(a, b - a))
                 if prompt:
                     head, head_at = words.encode(

@@ -43,7 +43,7 @@ from pyspark.sql.datasource import (
 
 from vexel.llm.common import steps, text_column
 from vexel.llm.packing import vocabulary_path
-from vexel.llm.word_tokens import encoder
+from vexel.llm.word_tokens import ENCODE_BYTES, encoder
 from vexel.session import work_dir
 
 FORMAT = "token_codes"
@@ -209,8 +209,13 @@ class _Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, shard_tokens: int) -> None:
-        self.path, self.shard_tokens = path, shard_tokens
+    """Encodes rows (key, text) in their order; one Python worker per task."""
+
+    def __init__(
+        self, path: str, vocabulary: str, end_id: int, shard_tokens: int
+    ) -> None:
+        self.path, self.vocabulary = path, vocabulary
+        self.end_id, self.shard_tokens = end_id, shard_tokens
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         from pyspark import TaskContext
@@ -218,6 +223,7 @@ class _Writer(DataSourceArrowWriter):
         filesystem, root = _open(self.path)
         task = TaskContext.get().partitionId()
         attempt = uuid.uuid4().hex
+        words = encoder(self.vocabulary)
         shards: list[dict] = []
         keys: list[pa.Array] = []
         ids: list[np.ndarray] = []
@@ -243,13 +249,15 @@ class _Writer(DataSourceArrowWriter):
             keys.clear(), ids.clear(), sizes.clear()
 
         for batch in iterator:
-            keys.append(batch.column("key"))
-            for raw in batch.column("ids"):
-                part = np.frombuffer(raw.as_buffer(), "<u4")
-                ids.append(part.copy())
-                sizes.append(np.array([len(part)], np.int64))
-            if sum(map(len, ids)) >= self.shard_tokens:
-                put()
+            texts = text_column(batch, "text")
+            for a, b in steps(texts, ENCODE_BYTES):
+                found, at = words.encode(texts.slice(a, b - a))
+                # The end id goes behind each text's last.
+                ids.append(np.insert(found, at[1:], self.end_id))
+                sizes.append(np.diff(at) + 1)
+                keys.append(batch.column("key").slice(a, b - a))
+                if sum(map(len, ids)) >= self.shard_tokens:
+                    put()
         put()
         return _Written(task, shards)
 
@@ -330,32 +338,12 @@ class TokenCodes(DataSource):
         if filesystem.get_file_info(root).type != pafs.FileType.NotFound:
             raise FileExistsError(root)
         filesystem.create_dir(root, recursive=True)
-        tokens = int(self.options.get("shardTokens", SHARD_TOKENS))
-        return _Writer(self.options["path"], tokens)
-
-
-def token_ids(
-    docs: DataFrame, vocabulary: str, end_id: int = END_ID, text: str = "text"
-) -> DataFrame:
-    """(key, ids) of rows (key, text); ``ids`` is little-endian 32-bit."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(vocabulary)
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            texts = text_column(batch, text)
-            for a, b in steps(texts):
-                ids, at = words.encode(texts.slice(a, b - a))
-                raw = ids.astype("<u4").tobytes()
-                parts = [
-                    raw[4 * x : 4 * y] + end for x, y in zip(at, at[1:], strict=False)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(a, b - a), pa.array(parts, pa.binary())],
-                    names=["key", "ids"],
-                )
-
-    return docs.mapInArrow(run, "key bigint, ids binary")
+        return _Writer(
+            self.options["path"],
+            self.options["vocabulary"],
+            int(self.options["endId"]),
+            int(self.options.get("shardTokens", SHARD_TOKENS)),
+        )
 
 
 def write_token_codes(
@@ -374,8 +362,9 @@ def write_token_codes(
         .repartitionByRange("key")
         .sortWithinPartitions("key", "text")
     )
-    writer = token_ids(ordered, vocabulary, end_id).write.format(FORMAT)
-    writer.mode("append").option("shardTokens", shard_tokens).save(path)
+    writer = ordered.write.format(FORMAT).mode("append")
+    writer = writer.option("vocabulary", vocabulary).option("endId", end_id)
+    writer.option("shardTokens", shard_tokens).save(path)
 
 
 def read_token_codes(spark: SparkSession, path: str) -> DataFrame:

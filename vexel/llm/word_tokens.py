@@ -16,7 +16,9 @@ from tokenizers import Tokenizer
 from vexel.llm.common import value_offsets
 
 #: Words kept per worker; the cache starts anew beyond it.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 800_000
+#: Bytes of text to encode at once.
+ENCODE_BYTES = 4 << 20
 #: A word that may be cut before its last sign: letters that are letters in every
 #: Unicode version and compose with nothing behind them.
 _LETTERS_AND_SIGN = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+[.,;:!?]$"
@@ -39,7 +41,7 @@ class WordEncoder:
     def _reset(self) -> None:
         self._slot: dict[str, int] = {"": 0}
         self._ids = np.zeros(1 << 16, np.uint32)
-        self._end = np.zeros(1 << 14, np.int64)
+        self._end = np.zeros(1 << 14, np.int32)
         self._slots, self._used = 1, 0
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -53,9 +55,11 @@ class WordEncoder:
         pairs = np.stack([first[codes], second[codes]], axis=1).ravel()
         begin = np.where(pairs > 0, self._end[pairs - 1], 0)
         lengths = self._end[pairs] - begin
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        take = np.arange(total) + np.repeat(begin - (ends - lengths), lengths)
+        shift = (begin - (ends - lengths)).astype(np.int32)
+        take = np.arange(total, dtype=np.int32)
+        take += np.repeat(shift, lengths)
         after = np.concatenate([[0], ends])
         return self._ids[take], after[2 * value_offsets(lists)]
 
@@ -75,7 +79,7 @@ class WordEncoder:
         unique = coded.dictionary.to_pylist()
         known = self._slot
         self._learn([w for w in unique if w not in known])
-        slots = np.fromiter(map(known.__getitem__, unique), np.int64, len(unique))
+        slots = np.fromiter(map(known.__getitem__, unique), np.int32, len(unique))
         return slots[coded.indices.to_numpy()]
 
     def _learn(self, new: list[str]) -> None:
