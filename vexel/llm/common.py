@@ -69,7 +69,8 @@ def conf(spark: SparkSession, **settings: str) -> Iterator[None]:
 
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The texts of a batch; null counts as empty."""
-    return pc.fill_null(batch.column(name).cast(pa.large_string()), "")
+    column = batch.column(name)
+    return pc.fill_null(column, "") if column.null_count else column
 
 
 def steps(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:

@@ -267,7 +267,7 @@ def pack_texts(
                         parts.insert(0, head[head_at[i] : head_at[i + 1]])
                         loss_from = len(parts[0])
                     out.add(keys[a + i], np.concatenate(parts), loss_from)
-                    if len(out.rows) >= 4_096:
+                    if len(out.rows) >= 1_024:
                         yield out.batch()
         if out is not None:
             out.finish()

@@ -8,6 +8,8 @@ Words repeat, so each is given to the tokenizers library once per worker.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,6 +25,11 @@ ENCODE_BYTES = 4 << 20
 #: Unicode version and compose with nothing behind them.
 _LETTERS_AND_SIGN = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+[.,;:!?]$"
 
+_LETTERS = re.compile("[a-zß-öø-įı-ſ]+")
+_TOGETHER = 1_000
+#: What the vocabulary puts behind the last token of each piece.
+_WORD_END = "</w>"
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -36,8 +43,15 @@ def encoder(path: str) -> WordEncoder:
 class WordEncoder:
     def __init__(self, path: str) -> None:
         self._tokenizer = Tokenizer.from_file(path)
+        vocabulary = self._tokenizer.get_vocab()
+        self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        closing = [i for token, i in vocabulary.items() if token.endswith(_WORD_END)]
+        self._closes[closing] = True
         self._reset()
 
+    def _encode(self, texts: list[str]) -> list:
+        return self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
     def _reset(self) -> None:
         self._slot: dict[str, int] = {"": 0}
         self._ids = np.zeros(1 << 16, np.uint32)
@@ -83,21 +97,31 @@ class WordEncoder:
         return slots[coded.indices.to_numpy()]
 
     def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            done = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, encoding in zip(part, done, strict=True):
-                self._store(word, encoding.ids)
-
-    def _store(self, word: str, ids: list[int]) -> None:
-        if self._slots + 1 > len(self._end):
+        # Words of letters alone are one piece each, so many go into one text and its
+        # pieces, told by their ends, are theirs in order; the others go one by one.
+        plain = [w for w in new if _LETTERS.fullmatch(w)]
+        for at in range(0, len(plain), _TOGETHER):
+            part = plain[at : at + _TOGETHER]
+            ids = np.array(self._encode([" ".join(part)])[0].ids, np.uint32)
+            ends = np.flatnonzero(self._closes[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            self._store(part, ids, ends)
+        rest = [w for w in new if not _LETTERS.fullmatch(w)]
+        for at in range(0, len(rest), _TOGETHER):
+            part = rest[at : at + _TOGETHER]
+            ids = [e.ids for e in self._encode(part)]
+            flat = np.array([i for x in ids for i in x], np.uint32)
+            self._store(part, flat, np.cumsum([len(x) for x in ids]))
+
+    def _store(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        while self._slots + len(words) > len(self._end):
             self._end = np.concatenate([self._end, np.zeros_like(self._end)])
         stop = self._used + len(ids)
         while stop > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
         self._ids[self._used : stop] = ids
-        self._used = stop
-        self._end[self._slots] = stop
-        self._slot[word] = self._slots
-        self._slots += 1
-
+        slots = range(self._slots, self._slots + len(words))
+        self._end[slots.start : slots.stop] = self._used + ends
+        self._slot.update(zip(words, slots, strict=True))
+        self._used, self._slots = stop, slots.stop
