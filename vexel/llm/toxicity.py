@@ -86,6 +86,9 @@ class _Bags:
         trimmed = pc.utf8_trim(coded.dictionary, characters=_EDGE).dictionary_encode()
         self.words = trimmed.dictionary.to_pylist()
         self.codes = trimmed.indices.to_numpy()[coded.indices.to_numpy()]
+        real = np.array([bool(w) for w in self.words], np.int64)
+        #: Words of each sentence, without those of signs alone.
+        self.counts = self.sentence_sums(real)
 
     def sentence_sums(self, word_weight: np.ndarray) -> np.ndarray:
         return segment_sums(word_weight[self.codes], self.word_at)
@@ -112,7 +115,7 @@ class Model:
         weight = self.weights[_word_features(bags.words)].sum(axis=1, dtype=float)
         z = bags.sentence_sums(weight) + self.bias
         # A sentence without words says nothing.
-        z = np.where(np.diff(bags.word_at) > 0, z, -np.inf)
+        z = np.where(bags.counts > 0, z, -np.inf)
         total = segment_sums(_softplus(z), bags.sentence_at)
         return -np.expm1(-total), _sigmoid(z), bags
 
@@ -134,7 +137,7 @@ def _fit(texts: pa.Array, y: np.ndarray, weight: np.ndarray, rounds: int) -> Mod
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for round_ in range(1, rounds + 1):
         z = bags.sentence_sums(w[local].sum(axis=1)) + b
-        z = np.where(words > 0, z, -np.inf)
+        z = np.where(bags.counts > 0, z, -np.inf)
         total = np.maximum(segment_sums(_softplus(z), bags.sentence_at), 1e-9)
         slope = weight * np.where(y > 0, -1.0 / np.expm1(np.minimum(total, 50)), 1.0)
         by_sentence = slope[doc_of_sentence] * _sigmoid(z) / weight.sum()
