@@ -2,58 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vexel.schema import record_bytes
+from vexel.session import work_dir
 
 # monotonically_increasing_id() keeps the row number of a partition in its low
-# 33 bits.
-_ROW_BITS = (1 << 33) - 1
+# 33 bits and the partition above them.
+_ROW_BITS = 33
 
 
-def assign_offsets(df: DataFrame, dim: int, start_offset: int = 0) -> DataFrame:
-    """Add ``pos`` (0-based) and ``offset`` (byte offset of the record's end).
+def in_key_order(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``df`` ordered by key, then text: an order of the data alone.
+
+    Neither the number of cores nor the cut of the input changes it.  The hash
+    lets one key with many rows take several ranges.
+    """
+    keys = [F.col(key), F.xxhash64(key, text)]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys, text)
 
-    ``offset = start_offset + (n + 1) * dim * 4`` for the n-th row.  Rows are
-    counted per partition first (Catalyst drops every column, and so any model
-    call, from that count), then shifted by the rows of earlier partitions.  No
-    row is shuffled: the broadcast side has one row per partition of ``df``.
 
-    Both passes must see the same partitions.  A scan, or a scan followed by a
-    fixed-number hash repartition, does; if a partition still comes out longer
-    than it was counted the job fails, and a failed job publishes nothing.
+def assign_offsets(
+    df: DataFrame, dim: int, start_offset: int = 0, path: str | None = None
+) -> DataFrame:
+    """Add ``pos`` (0-based) and ``offset`` (byte offset of the record's end).
+
+    ``offset = start_offset + (n + 1) * dim * 4`` for the n-th row, in the order
+    of ``df``'s partitions and the rows inside them.  ``df`` is evaluated once and
+    written to ``path``, by default in the shared work folder; the rows of each
+    partition are counted in what was written, so positions have no gap or repeat
+    even if another evaluation of ``df`` would give other rows.  The numbering
+    itself shuffles no row: its broadcast side has one row per partition.
     """
     width = record_bytes(dim)
     if start_offset % width:
         raise ValueError(f"offset {start_offset} is not a multiple of {width}")
-    counts = df.groupBy(F.spark_partition_id().alias("__pid")).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
+    spark = df.sparkSession
+    path = path or work_dir(spark, "numbered")
+    rows = df.withColumn("__row", F.monotonically_increasing_id())
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+
+    def part() -> Column:
+        return F.shiftrightunsigned("__row", _ROW_BITS)
+
+    counts = rows.groupBy(part().alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn(
-        "__start", F.coalesce(F.sum("__n").over(before), F.lit(0).cast("bigint"))
-    )
-    rows = df.withColumn("__pid", F.spark_partition_id()).withColumn(
-        "__i", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
-    )
-    # A left join, so that a partition that was counted empty fails below
-    # instead of losing its rows.
-    numbered = rows.join(F.broadcast(starts), "__pid", "left")
-    row = F.when(
-        F.col("__i") < F.col("__n"), F.col("__start") + F.col("__i")
-    ).otherwise(
-        F.raise_error(
-            F.lit("input changed between counting and numbering; stage it first")
-        ).cast("bigint")
+    starts = counts.select(
+        "__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
     )
+    numbered = rows.withColumn("__pid", part()).join(F.broadcast(starts), "__pid")
+    inside = F.col("__row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        numbered.withColumn("__row", row)
-        .withColumn("pos", F.col("__row") + F.lit(start_offset // width))
-        .withColumn(
-            "offset",
-            F.lit(start_offset).cast("bigint")
-            + (F.col("__row") + 1) * F.lit(width).cast("bigint"),
-        )
-        .drop("__pid", "__i", "__n", "__start", "__row")
+        numbered.withColumn("__n", F.col("__start") + inside)
+        .withColumn("pos", F.col("__n") + F.lit(start_offset // width))
+        .withColumn("offset", (F.col("pos") + 1) * F.lit(width).cast("bigint"))
+        .drop("__pid", "__row", "__start", "__n")
     )

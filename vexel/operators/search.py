@@ -181,6 +181,11 @@ def _search(
     return spark.read.parquet(hits), total
 
 
+def _one_text(found: DataFrame) -> DataFrame:
+    """The lowest text of each position, where a journal names one twice."""
+    return found.groupBy("pos").agg(F.min("text").alias("text"))
+
+
 def attach_text(
     hits: DataFrame,
     texts: DataFrame,
@@ -190,6 +195,8 @@ def attach_text(
 ) -> DataFrame:
     """Look up the text of each hit in ``texts (pos, text)``; none gives ``""``.
 
+    Of several texts at one position the lowest counts, so a hit stays one row.
+
     ``max_hits`` bounds the number of hits.  A few are fetched, and their
     positions go into the scan of ``texts`` as literals: row groups are pruned by
     their position range, so the text column is hardly read.  More are written to
@@ -201,7 +208,7 @@ def attach_text(
         table = hits.toArrow()
         hits = spark.createDataFrame(table, hits.schema)
         positions = sorted(set(table.column("pos").to_pylist()))
-        found = wanted.filter(F.col("pos").isin(positions))
+        found = _one_text(wanted.filter(F.col("pos").isin(positions)))
         # At most one row per wanted position comes back.
         joined = hits.join(F.broadcast(found), "pos", "left")
     else:
@@ -211,7 +218,7 @@ def attach_text(
         distinct = hits.select("pos").distinct()
         if max_hits <= MAX_BROADCAST_HITS:
             distinct = F.broadcast(distinct)
-        found = wanted.join(distinct, "pos", "left_semi")
+        found = _one_text(wanted.join(distinct, "pos", "left_semi"))
         joined = hits.join(found, "pos", "left")
     return joined.withColumn("text", F.coalesce("text", F.lit("")))
 

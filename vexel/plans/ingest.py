@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from vexel.operators.chunking import Chunker, chunk_documents
 from vexel.operators.embedding import embed
 from vexel.operators.models import EmbeddingModel
+from vexel.operators.numbering import in_key_order
 from vexel.operators.report import summary_lines
-from vexel.session import spread_if_narrow, work_dir
-from vexel.sources import paths
+from vexel.session import spread_if_narrow
 from vexel.sources.store import append_store
 
 
@@ -68,35 +68,24 @@ def ingest(
     strict: bool = False,
     drop_empty: bool = False,
     ingest_id: str | None = None,
-    stage: bool = False,
-    spread: bool = False,
 ) -> IngestResult:
     """Trim, chunk, embed, normalise and append ``docs`` to the store.
 
-    Either all chunks become visible or none.  The texts are read twice, once to
-    count chunks and once to embed them; the model runs once per chunk.
-
-    Use ``stage`` if ``docs`` might come out differently when evaluated again (an
-    adaptive shuffle, sampling, a source that changes): its id and text columns
-    are then written to the shared work folder first and read from there.
-    ``spread`` uses all cores for a scan of few splits.
+    Either all chunks become visible or none.  Chunks are stored in the order of
+    document id (then text, if an id repeats) and place in the document, so their
+    positions, and equal scores in a search, depend on the data alone.  The model
+    runs once per chunk.
     """
-    spark = docs.sparkSession
-    docs = docs.select(id_col, text_col)
-    staged = None
-    if stage:
-        staged = work_dir(spark, "ingest")
-        docs.write.parquet(staged)
-        docs = spark.read.parquet(staged)
+    ordered = in_key_order(docs.select(id_col, text_col), id_col, text_col)
     rows = embedded_chunks(
-        docs,
+        ordered,
         model,
         chunker,
         id_col=id_col,
         text_col=text_col,
         strict=strict,
         drop_empty=drop_empty,
-        spread=spread or stage,
+        spread=False,
     ).select(
         F.col(id_col).alias("doc_id"),
         F.col("pos").alias("chunk_pos"),
@@ -105,13 +94,9 @@ def ingest(
     )
     seen = Observation()
     started = time.perf_counter()
-    try:
-        appended = append_store(
-            rows, store_path, model.dim, unit=True, ingest_id=ingest_id, observation=seen
-        )
-    finally:
-        if staged is not None:
-            paths.delete(spark, staged)
+    appended = append_store(
+        rows, store_path, model.dim, unit=True, ingest_id=ingest_id, observation=seen
+    )
     seconds = time.perf_counter() - started
     metrics = seen.get if appended else {}
     return IngestResult(

@@ -106,6 +106,19 @@ lists AS (
   FROM lists
 )"""
 
+# Every element of the vectors that the store queries append, with its position.
+_STORED = f"""
+sources AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS pos, 'label ' || label AS text,
+         list_transform(embedding, lambda x: (x * 3.0::DOUBLE)::FLOAT::DOUBLE) AS v
+  FROM embeddings
+), stored AS (
+  SELECT vec_id, pos, text, (unnest(range(64)))::INTEGER AS dim,
+         round((unnest(v) / sqrt(list_dot_product(v, v)))::FLOAT::DOUBLE, 6) {_LONG_ZERO}
+           AS value
+  FROM sources
+)"""
+
 _FIRSTS = """
 firsts AS (
   SELECT label::BIGINT AS query_id, min_by(embedding, vec_id) AS q
@@ -254,21 +267,25 @@ WITH {_CHUNKS}, queries AS (
 ), {_HASHED}, query_vectors AS (
   SELECT query_id, u AS q FROM queries JOIN unit USING (text)
 ), scored AS (
-  SELECT query_id, chunk, list_dot_product(u, q) AS score
+  SELECT query_id, doc_id, pos, chunk, list_dot_product(u, q) AS score
   FROM chunks JOIN unit ON chunk = unit.text CROSS JOIN query_vectors
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC) AS rank
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, pos)
+              AS rank
   FROM scored
+), stored AS (
+  SELECT doc_id, pos AS chunk_pos, row_number() OVER (ORDER BY doc_id, pos) - 1 AS pos
+  FROM chunks
 )
 SELECT query_id, rank::BIGINT AS rank, round(score, 6) {_LONG_ZERO} AS score,
-       length(chunk) > 0 AS has_text
-FROM ranked WHERE rank <= 10""",
+       s.pos::BIGINT AS pos, r.doc_id, s.chunk_pos::INTEGER AS chunk_pos, chunk AS text
+FROM ranked r JOIN stored s ON r.doc_id = s.doc_id AND r.pos = s.chunk_pos
+WHERE rank <= 10""",
     "store_append": f"""
-SELECT ingest_id, vec_id AS doc_id, 'label ' || label AS text, 64::BIGINT AS n,
-       1.0::DOUBLE AS magnitude,
-       round((v[1] / sqrt(list_dot_product(v, v)))::FLOAT::DOUBLE, 6) {_LONG_ZERO} AS first_value
-FROM (SELECT *, list_transform(embedding, lambda x: (x * 3.0::DOUBLE)::FLOAT::DOUBLE) AS v
-      FROM embeddings), (VALUES ('first'), ('second')) t(ingest_id)""",
+WITH {_STORED}
+SELECT pos + turn * (SELECT count(*) FROM embeddings) AS pos, ingest_id,
+       vec_id AS doc_id, text, dim, value
+FROM stored, (VALUES ('first', 0), ('second', 1)) t(ingest_id, turn)""",
     "store_offsets": """
 SELECT range AS pos, (range + 1) * 256 AS "offset"
 FROM range((SELECT 2 * count(*) FROM embeddings))""",
@@ -283,10 +300,9 @@ FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pos, embedding
     "journal_roundtrip": """
 SELECT vec_id AS pos, coalesce(text, '') AS text
 FROM embeddings LEFT JOIN documents ON doc_id = vec_id""",
-    "store_transfer": """
-SELECT range AS pos, (range + 1) * 256 AS "offset",
-       true AS same_text, true AS same_vector
-FROM range((SELECT count(*) FROM embeddings))""",
+    "store_transfer": f"""
+WITH {_STORED}
+SELECT pos, (pos + 1) * 256 AS "offset", text, dim, value FROM stored""",
     "ingest_report": """
 SELECT doc_id, len(string_split(text, '.'))::BIGINT AS n_chunks,
        64::BIGINT AS min_len, 64::BIGINT AS max_len

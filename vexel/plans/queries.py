@@ -308,7 +308,7 @@ def semantic_search(spark, sf_dir):
 
 def _document_store(spark, sf_dir) -> str:
     path = work_dir(spark, "store")
-    ingest(table(spark, sf_dir, "documents"), path, MODEL, spread=True)
+    ingest(table(spark, sf_dir, "documents"), path, MODEL)
     return path
 
 
@@ -325,8 +325,9 @@ def store_search(spark, sf_dir):
     """All documents ingested into a store, then searched for four texts."""
     store = read_store(spark, _document_store(spark, sf_dir))
     hits = srch.search(store, _language_queries(spark, sf_dir), MODEL)
-    return _rounded(hits).select(
-        "query_id", "rank", "score", (F.length("text") > 0).alias("has_text")
+    places = store.select("pos", "doc_id", "chunk_pos")
+    return _rounded(hits.join(places, "pos")).select(
+        "query_id", "rank", "score", "pos", "doc_id", "chunk_pos", "text"
     )
 
 
@@ -335,6 +336,7 @@ def store_search(spark, sf_dir):
 
 def _stored_rows(spark, sf_dir) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
+    emb = emb.repartitionByRange("vec_id").sortWithinPartitions("vec_id")
     return emb.select(
         F.col("vec_id").alias("doc_id"),
         F.lit(0).alias("chunk_pos"),
@@ -354,14 +356,11 @@ def _two_appends(spark, sf_dir) -> str:
 
 def store_append(spark, sf_dir):
     store = read_store(spark, _two_appends(spark, sf_dir))
-    return store.select(
-        "ingest_id",
-        "doc_id",
-        "text",
-        F.size("embedding").cast("bigint").alias("n"),
-        F.round(vec.magnitude("embedding"), 6).alias("magnitude"),
-        F.round(F.col("embedding")[0].cast("double"), 6).alias("first_value"),
+    elements = store.select(
+        "pos", "ingest_id", "doc_id", "text", F.posexplode("embedding").alias("dim", "x")
     )
+    value = F.round(F.col("x").cast("double"), 6).alias("value")
+    return elements.select("pos", "ingest_id", "doc_id", "text", "dim", value)
 
 
 def store_offsets(spark, sf_dir):
@@ -403,13 +402,11 @@ def store_transfer(spark, sf_dir):
     store = read_store(spark, f"{root}/store")
     export_store(store, f"{root}/vectors", f"{root}/journal", DIM)
     import_store(spark, f"{root}/vectors", f"{root}/journal", f"{root}/copy", DIM)
-    both = store.join(read_store(spark, f"{root}/copy").alias("c"), "pos")
-    return both.select(
-        "pos",
-        "c.offset",
-        (store["text"] == F.col("c.text")).alias("same_text"),
-        (store["embedding"] == F.col("c.embedding")).alias("same_vector"),
+    copy = read_store(spark, f"{root}/copy").select(
+        "pos", "offset", "text", F.posexplode("embedding").alias("dim", "x")
     )
+    value = F.round(F.col("x").cast("double"), 6).alias("value")
+    return copy.select("pos", "offset", "text", "dim", value)
 
 
 # Reports

@@ -15,14 +15,21 @@ def read_journal(spark: SparkSession, path: str, dim: int) -> DataFrame:
     The position comes from the offset, never from the line number: Spark skips
     blank lines and splits files.  A line that does not parse has no offset and
     no row here; :func:`vexel.operators.search.attach_text` gives its vector
-    empty text.
+    empty text.  An offset between two records is an error.
     """
     if not paths.exists(spark, path):
         paths.create_empty(spark, path)
     width = schema.record_bytes(dim)
     lines = spark.read.schema(schema.JOURNAL).json(path)
+    place = F.when(
+        F.col("Offset") % width == 0, F.expr(f"Offset div {width} - 1")
+    ).otherwise(
+        F.raise_error(
+            F.concat(F.lit(f"not a multiple of {width}: journal offset "), "Offset")
+        ).cast("bigint")
+    )
     return lines.filter(F.col("Offset").isNotNull()).select(
-        F.expr(f"Offset div {width} - 1").alias("pos"),
+        place.alias("pos"),
         F.col("Offset").alias("offset"),
         F.coalesce("Text", F.lit("")).alias("text"),
     )

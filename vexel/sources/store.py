@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from vexel import schema
 from vexel.functions.vectors import normalise, validate_vector
 from vexel.operators.numbering import assign_offsets
+from vexel.session import work_dir
 from vexel.sources import paths
 
 
@@ -42,8 +43,8 @@ def append_store(
     published under that id is skipped, so a whole ingest can be retried; returns
     False in that case.
 
-    ``rows`` is evaluated twice, first for its row count per partition with all
-    columns pruned (see :func:`assign_offsets`).
+    Positions follow the order of ``rows``, which is evaluated once and written to
+    the shared work folder before it is numbered (see :func:`assign_offsets`).
     """
     spark = rows.sparkSession
     start = 0
@@ -61,16 +62,20 @@ def append_store(
     checked = validate_vector(rows, dim)
     if not unit:
         checked = checked.withColumn("embedding", normalise("embedding"))
-    numbered = assign_offsets(checked, dim, start)
-    numbered = numbered.withColumn("ingest_id", F.lit(ingest_id))
-    if observation is not None:
-        numbered = numbered.observe(
-            observation,
-            F.count(F.lit(1)).alias("n_chunks"),
-            F.min(F.size("embedding")).alias("min_len"),
-            F.max(F.size("embedding")).alias("max_len"),
-        )
-    write_rows(numbered, path)
+    kept = work_dir(spark, "append")
+    try:
+        numbered = assign_offsets(checked, dim, start, kept)
+        numbered = numbered.withColumn("ingest_id", F.lit(ingest_id))
+        if observation is not None:
+            numbered = numbered.observe(
+                observation,
+                F.count(F.lit(1)).alias("n_chunks"),
+                F.min(F.size("embedding")).alias("min_len"),
+                F.max(F.size("embedding")).alias("max_len"),
+            )
+        write_rows(numbered, path)
+    finally:
+        paths.delete(spark, kept)
     return True
 
 

@@ -45,7 +45,6 @@ def ingest_new_files(
             model,
             chunker,
             ingest_id=f"{stream_id}:{batch_id}",
-            stage=True,
         )
 
     return (
