@@ -41,7 +41,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from vexel.llm.common import steps, text_column
+from vexel.llm.common import conf, steps, text_column
 from vexel.llm.packing import vocabulary_path
 from vexel.llm.word_tokens import ENCODE_BYTES, encoder
 from vexel.session import work_dir
@@ -55,6 +55,8 @@ _MANIFEST = "manifest.json"
 #: Ids of one shard, about; a longer document stands alone.
 SHARD_TOKENS = 4 << 20
 END_ID = 2
+#: Rows given to a task's Python worker at once: both sides hold a batch whole.
+BATCH_ROWS = 2_000
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
@@ -247,6 +249,7 @@ class _Writer(DataSourceArrowWriter):
                 {"name": name, "documents": len(key), "tokens": int(ends[-1])}
             )
             keys.clear(), ids.clear(), sizes.clear()
+            pa.default_memory_pool().release_unused()
 
         for batch in iterator:
             texts = text_column(batch, "text")
@@ -296,8 +299,8 @@ class _Reader(DataSourceReader):
         filesystem, root = _open(self.path)
         with filesystem.open_input_file(f"{root}/{partition.name}") as stream:
             shard = Shard.from_bytes(stream.read())
-        for a in range(0, len(shard.keys), 1_024):
-            b = min(a + 1_024, len(shard.keys))
+        for a in range(0, len(shard.keys), 256):
+            b = min(a + 256, len(shard.keys))
             at = shard.starts[a : b + 1]
             ids = shard.codes.between(int(at[0]), int(at[-1])).astype("<u4").tobytes()
             offsets = 4 * (at - at[0])
@@ -364,7 +367,10 @@ def write_token_codes(
     )
     writer = ordered.write.format(FORMAT).mode("append")
     writer = writer.option("vocabulary", vocabulary).option("endId", end_id)
-    writer.option("shardTokens", shard_tokens).save(path)
+    writer = writer.option("shardTokens", shard_tokens)
+    rows = {"spark__sql__execution__arrow__maxRecordsPerBatch": str(BATCH_ROWS)}
+    with conf(docs.sparkSession, **rows):
+        writer.save(path)
 
 
 def read_token_codes(spark: SparkSession, path: str) -> DataFrame:
