@@ -169,6 +169,35 @@ def test_toxicity_locates_what_offends(spark, none):
     assert toxicity.fit(none, labels).bias == -np.inf
 
 
+def test_sums_of_ranges_against_a_loop():
+    rng = np.random.default_rng(3)
+    table = rng.integers(-9, 9, (50, 4)).astype(np.float32)
+    rows = rng.integers(0, 50, 3_000)
+    cuts = np.sort(rng.integers(0, 3_001, 1_500))
+    cuts[100:140] = cuts[100]  # empty ranges
+    got = decontaminate._summed(table, rows, cuts[:-1], cuts[1:])
+    want = [table[rows[a:b]].sum(0) for a, b in zip(cuts, cuts[1:], strict=False)]
+    assert (got == np.array(want)).all()
+    none = np.zeros(0, np.int64)
+    assert decontaminate._summed(table, none, none, none).shape == (0, 4)
+
+
+def test_leaks_do_not_depend_on_item_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+    items = [" ".join(rng.choice(words, 30)) for _ in range(7)]
+    noise = [" ".join(rng.choice(words, 60)) for _ in range(14)]
+    docs = [(i, f"{noise[i]} {items[i]} {noise[i + 7]}") for i in range(7)]
+    docs += [(10 + i, text) for i, text in enumerate(noise)] + [(99, None)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    want = {n: [n] if n < 7 else [] for n, _ in docs}
+    for size in (decontaminate.BLOCK_ITEMS, 3):
+        monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", size)
+        found = decontaminate.find_leaks(table, benchmark).collect()
+        assert {r["doc_id"]: r["items"] for r in found} == want
+
+
 def test_decontamination(spark, odd, none):
     g = random.Random(6)
     words = [f"t{i}" for i in range(3_000)]
