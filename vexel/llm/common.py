@@ -67,6 +67,11 @@ def conf(spark: SparkSession, **settings: str) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
+def ranges(spark: SparkSession, rows: int, each: int = 1_000_000) -> int:
+    """Ranges to sort narrow ``rows`` in: the session's number, more for many rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The texts of a batch; null counts as empty."""
     column = batch.column(name)

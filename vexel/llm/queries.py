@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vexel.llm.align import op11_token_alignment
 from vexel.llm.decontaminate import op5_decontamination
 from vexel.llm.langid import op9_language_id
 from vexel.llm.line_dedup import op2_line_dedup
+from vexel.llm.merkle import op12_merkle_manifest
+from vexel.llm.ngram_join import op13_ngram_join
 from vexel.llm.packing import op1_packing
 from vexel.llm.quality import OP8_SQL, op8_quality_rules
 from vexel.llm.secret_scan import op7_secret_scan
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_token_codes": op10_token_codes,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 ORACLES: dict[str, str] = {
