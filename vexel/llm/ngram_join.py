@@ -309,15 +309,14 @@ def _whole_sets(docs: DataFrame, text: str, width: int, wanted: DataFrame) -> Da
     bit = F.pmod(F.xxhash64("node"), F.lit(1 << _MAP_BITS))
     rows = (
         wanted.select(bit.alias("bit"))
-        .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+        .groupBy(F.shiftright("bit", 15).alias("part"))
+        .agg(F.bitmap_construct_agg(F.col("bit") % (1 << 15)).alias("bits"))
     )
     maps = np.zeros(1 << (_MAP_BITS - 3), np.uint8)
     for row in rows.toLocalIterator():
-        at = (row["bucket"] - 1) * 4096
+        at = row["part"] << 12
         raw = np.frombuffer(row["bits"], np.uint8)
         maps[at : at + len(raw)] |= raw
-    # The JVM's hash is not at hand in the tasks: they look nodes up by Spark's column.
     shared = docs.sparkSession.sparkContext.broadcast(maps)
 
     class Members(_Sets):
