@@ -1,3 +1,5 @@
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,13 +79,34 @@ def test_documents(spark):
 def test_strict_documents_fail(spark):
     with pytest.raises(PySparkException, match="no text provided"):
         ck.chunk_documents(docs(spark), strict=True).collect()
-    none = ck.python_chunker(lambda text: [])
+    none = ck.arrow_chunker(lambda texts: pa.array([[]] * len(texts), pa.list_(pa.string())))
     some = docs(spark).filter("doc_id = 4")
     with pytest.raises(PySparkException, match="no chunks"):
         ck.chunk_documents(some, none, strict=True).collect()
     assert ck.chunk_documents(some, none).count() == 0
 
 
+def test_a_custom_chunker_sees_batches(spark):
+    def lines(texts):
+        assert isinstance(texts, pa.StringArray) and not texts.null_count
+        lists = pc.split_pattern(texts, "\n")
+        return ck.filter_lists(lists, pc.greater(pc.utf8_length(lists.flatten()), 1))
+
+    rows = [(1, "a\nbb\nccc"), (2, ""), (3, "x"), (4, "yy")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = ck.chunk_documents(df, ck.arrow_chunker(lines)).orderBy("doc_id", "pos").collect()
+    assert [tuple(r) for r in got] == [(1, 0, "bb"), (1, 1, "ccc"), (4, 0, "yy")]
+    short = ck.arrow_chunker(lambda texts: pa.array([["a"]] * (len(texts) - 1)))
+    with pytest.raises(PySparkException, match="one list per text"):
+        ck.chunk_documents(df, short).collect()
+
+
+def test_filtered_lists_of_a_slice():
+    lists = pa.array([["a", "b"], [], ["c"], ["d", "e"]]).slice(1)
+    kept = ck.filter_lists(lists, pa.array([True, None, True]))
+    assert kept.to_pylist() == [[], ["c"], ["e"]]
+
+
 def test_require_chunks(spark):
     df = spark.createDataFrame([(1, ["a"]), (2, [])], "i int, chunks array<string>")
     assert [r.i for r in ck.require_chunks(df).collect()] == [1]

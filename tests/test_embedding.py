@@ -1,4 +1,5 @@
 import hashlib
+import os
 import re
 import struct
 import sys
@@ -11,6 +12,7 @@ from pyspark.errors import PySparkException
 
 from tests.conftest import plan_of
 from vexel.functions import tokens as tk
+from vexel.operators import embedding, encoding
 from vexel.operators.embedding import embed, embed_score
 from vexel.operators.encoding import SpecialTokens, encode_tokens
 from vexel.operators.models import (
@@ -20,8 +22,9 @@ from vexel.operators.models import (
     OnnxModel,
     masked_mean,
 )
+from vexel.operators.report import chunk_lines, ingest_report
 from vexel.operators.search import unit_vector
-from vexel.plans.ingest import embedded_chunks, ingest
+from vexel.plans.ingest import document_chunks, embedded_chunks, ingest
 from vexel.plans.semantic import search_documents
 from vexel.sources.store import read_store
 from vexel.streaming.ingest import ingest_new_files
@@ -135,7 +138,11 @@ def test_ingest(spark, tmp_path):
     path = str(tmp_path / "store")
     result = ingest(docs, path, HashingModel(8), ingest_id="one")
     assert (result.appended, result.n_chunks, result.min_len, result.max_len) == (True, 4, 8, 8)
-    assert result.lines("f.txt")[0] == "Source file: f.txt"
+    lines = result.lines("f.txt")
+    assert lines[0] == "Source file: f.txt"
+    assert re.fullmatch(r"Embedded 4 chunks in \d+\.\d{3}s", lines[1])
+    assert re.fullmatch(r"Stored 4 chunks in \d+\.\d{3}s", lines[2])
+    assert result.embed_seconds > 0 and result.store_seconds > 0
     again = ingest(docs, path, HashingModel(8), ingest_id="one")
     assert (again.appended, again.n_chunks) == (False, 0)
     got = read_store(spark, path).orderBy("doc_id", "chunk_pos").collect()
@@ -217,16 +224,79 @@ def test_encode_without_special_tokens(spark):
         encoded(spark, max_len=1)
 
 
-@pytest.mark.parametrize("salt", [1, 5])
-def test_joined_vocabulary_gives_the_same(spark, salt):
-    want = encoded(spark, max_len=8, pad_to=6)
-    assert encoded(spark, max_len=8, pad_to=6, max_lookup_tokens=3, salt=salt) == want
+def test_keys_may_repeat_and_have_any_name(spark):
+    rows = [(7, "the cat"), (7, "the cat"), (None, "sat"), (None, None)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    vocab = vocab_df(spark).union(vocab_df(spark).selectExpr("token", "id + 50 as id"))
+    out = encode_tokens(
+        df, vocab, key=["id"], special=SPECIAL, with_special=False, max_len=4, pad_to=2
+    )
+    got = sorted(((r.id or 0), r.input_ids) for r in out.collect())
+    assert got == [(0, [0, 0]), (0, [6, 0]), (7, [4, 5]), (7, [4, 5])]
+
+
+@pytest.mark.parametrize("share", [1, 1_000_000])
+def test_frequent_tokens_get_the_same_ids(spark, monkeypatch, share):
+    """Whether all, some or no tokens count as frequent."""
+    words = [f"w{i}" for i in range(60)] + ["the"] * 60
+    rows = [(i, " ".join(words[(i * 7 + j) % 120] for j in range(30)) + " the") for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, text string").repartition(3)
+    vocab = spark.createDataFrame(
+        [(f"w{i}", 1_000 + i) for i in range(0, 60, 2)] + [("the", 5)], "token string, id bigint"
+    )
+    monkeypatch.setattr(encoding, "SAMPLED", 1)
+    monkeypatch.setattr(encoding, "FREQUENT_SHARE", share)
+    out = encode_tokens(df, vocab, key=["k"], with_special=False, max_len=64, pad_to=4)
+    known = {f"w{i}": 1_000 + i for i in range(0, 60, 2)} | {"the": 5}
+    for r in out.collect():
+        assert r.input_ids == [known.get(w, 100) for w in rows[r.k][1].split()]
 
 
-def test_small_vocabulary_needs_no_shuffle(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    plan = plan_of(encode_tokens(docs, vocab_df(spark), key=["doc_id"]))
-    assert "Exchange" not in plan and plan.count("regexp_extract_all") == 1
+class Recording(EmbeddingModel):
+    """Notes the process that loads it."""
+
+    dim = 1
+
+    def __init__(self, path):
+        self.path = path
+
+    def make_predict_fn(self):
+        with open(self.path, "a") as out:
+            out.write(f"{os.getpid()}\n")
+        return lambda texts: np.ones((len(texts), 1), np.float32)
+
+
+def test_a_worker_loads_a_model_once(spark, tmp_path):
+    path = str(tmp_path / "loads")
+    for _ in range(3):
+        df = texts_df(spark, [str(i) for i in range(40)]).repartition(8)
+        assert embed(df, Recording(path)).count() == 40
+        embed(df, Recording(path)).collect()
+    with open(path) as loads:
+        pids = loads.read().split()
+    assert pids and len(pids) == len(set(pids))
+
+
+def test_loaded_models_are_bounded(monkeypatch):
+    monkeypatch.setattr(embedding, "KEPT_BYTES", 100)
+    monkeypatch.setattr(embedding, "_registry", lambda known={}: known)
+    made = []
+
+    class Model:
+        def make_predict_fn(self):
+            made.append(self)
+            return len
+
+    for key in ("a", "b", "a", "c", "a", "b"):
+        embedding.loaded(Model(), key, 50)
+    # c pushed out b, which was unused longest; b then pushed out c.
+    assert len(made) == 4 and sorted(embedding._registry()) == ["a", "b"]
+
+
+def test_reports_run_no_model(spark, sf_dir):
+    chunks = document_chunks(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    for rows in (ingest_report(chunks, 8, "doc_id"), chunks.select(chunk_lines(8))):
+        assert "Python" not in plan_of(rows) and "Arrow" not in plan_of(rows)
 
 
 def test_truncate_keeps_the_ends(spark):

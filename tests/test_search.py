@@ -14,6 +14,7 @@ from vexel.operators import search as srch
 from vexel.operators.kernels import TopK, drop_excess_copies, ordered_dot
 from vexel.operators.models import ConstantModel
 from vexel.operators.report import render_hits, search_report
+from vexel.sources.store import Store, append_store
 
 NAN = float("nan")
 
@@ -218,16 +219,76 @@ def test_empty_query(spark):
     assert srch.search(store, blank, half_and_one(), strict=False).count() == 0
 
 
-def test_text_lookup_paths_agree(spark, monkeypatch):
+def test_text_lookup(spark):
     store, _ = random_store(spark)
     texts = store.filter("pos % 4 > 0").select("pos", F.concat(F.lit("t"), "pos").alias("text"))
     hits = store.select((F.col("pos") % 50).alias("pos"))
     want = sorted((p % 50, f"t{p % 50}" if p % 50 % 4 else "") for p in range(200))
-    for literal, broadcast in ((1000, 10), (0, 1000), (0, 0)):
-        monkeypatch.setattr(srch, "MAX_LITERAL_POSITIONS", literal)
-        monkeypatch.setattr(srch, "MAX_BROADCAST_HITS", broadcast)
-        got = srch.attach_text(hits, texts, 200)
-        assert sorted((r.pos, r.text) for r in got.collect()) == want
+    got = srch.attach_text(hits, texts)
+    assert sorted((r.pos, r.text) for r in got.collect()) == want
+
+
+def test_text_lookup_reads_only_the_files_of_the_hits(spark, tmp_path):
+    store, rows = random_store(spark, parts=1)
+    path = str(tmp_path / "store")
+    table = store.orderBy("pos").select(
+        F.col("pos").alias("doc_id"), F.lit(0).alias("chunk_pos"),
+        F.concat(F.lit("t"), "pos").alias("text"), "embedding",
+    )
+    for at in range(0, 200, 50):
+        some = table.filter(F.col("doc_id").between(at, at + 49))
+        append_store(some.repartitionByRange(5, "doc_id"), path, 8, unit=True)
+    held = Store(spark, path)
+    assert sum(f[2] for f in held.files) == 200
+    hits = spark.createDataFrame([(3,), (3,), (120,), (500,), (None,)], "pos bigint")
+    files = held.files_of(hits)
+    assert [any(f[1] <= p < f[1] + f[2] for p in (3, 120)) for f in files] == [True, True]
+    assert len(held.at(hits).inputFiles()) == 2
+    got = srch.attach_text(hits, held).collect()
+    assert sorted((r.pos or -1, r.text) for r in got) == [
+        (-1, ""), (3, "t3"), (3, "t3"), (120, "t120"), (500, "")]
+    found = srch.search_batch(held.rows(), vectors_df(spark, rows[:30], "query_id"), 8, 1)
+    # The appended order is the order of positions, so each vector finds itself.
+    assert sorted((r.query_id, r.pos) for r in found.collect()) == [(i, i) for i in range(30)]
+
+
+def test_tasks_send_only_what_may_win(spark):
+    """Every vector as a query, over many tasks: far fewer rows than tasks x queries x k."""
+    store, rows = random_store(spark, n=2_000, parts=40)
+    queries = vectors_df(spark, rows, "query_id")
+    sent = srch.scored_queries(store, queries, 8, 10, sample_rows=1_000).count()
+    every = 40 * 2_000 * 10
+    assert 2_000 * 10 <= sent < every / 10
+    hits = srch.search_batch(store, queries, 8, 10)
+    x = np.array([r[1] for r in rows], np.float32)
+    scores = np.add.reduce([np.multiply.outer(x[:, d].astype(float), x[:, d]) for d in range(8)])
+    order = np.lexsort((np.arange(2_000) + np.zeros((2_000, 1), int), -scores), axis=1)[:, :10]
+    got = {}
+    for r in hits.collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.pos
+    assert all([got[q][i + 1] for i in range(10)] == order[q].tolist() for q in range(2_000))
+
+
+def test_all_blocks_share_one_scan(spark, tmp_path):
+    store, rows = random_store(spark, n=300)
+    path = str(tmp_path / "store")
+    store.write.parquet(path)
+    queries = vectors_df(spark, rows[:100], "query_id")
+    one = dict(max_query_bytes=8 * 8 * 4)
+    held = spark.read.parquet(path)
+    plan = plan_of(srch.search_batch(held, queries, 8, 3, **one))
+    assert plan.count("FileScan parquet") == 1
+    more = srch.search_batch(held, queries, 8, 3, max_shared_bytes=3 * 8 * 8 * 4, **one)
+    whole = srch.search_batch(held, queries, 8, 3)
+    assert more.count() == 300 and more.exceptAll(whole).count() == 0
+
+
+@pytest.mark.parametrize("room", [1 << 20, 8 * 4])
+def test_a_repeated_query_id_is_an_error(spark, room):
+    store, rows = random_store(spark)
+    twice = vectors_df(spark, [rows[0], rows[0]], "query_id")
+    with pytest.raises(ValueError, match="repeat"):
+        srch.search_batch(store, twice, 8, 2, max_query_bytes=room)
 
 
 def test_plans(spark, tmp_path):
@@ -241,8 +302,6 @@ def test_plans(spark, tmp_path):
     batch = plan_of(srch.search_batch(store, queries, 384, 2))
     assert "WindowGroupLimit" in batch
     assert "CartesianProduct" not in batch and "NestedLoop" not in batch
-    text = plan_of(srch.search(store, query_of(spark), half_and_one(), 2))
-    assert "In(pos, [0,1])" in text
 
 
 def test_reports(spark):

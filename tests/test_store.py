@@ -11,11 +11,15 @@ from vexel.operators.models import HashingModel
 from vexel.operators.numbering import assign_offsets
 from vexel.operators.search import attach_text, search
 from vexel.plans.ingest import ingest
-from vexel.plans.transfer import export_store, import_store
+from vexel.plans.transfer import export_store, import_pair, import_store
 from vexel.session import spread_if_narrow, work_dir, work_root
-from vexel.sources.journal import read_journal, write_journal
+from vexel.sources import commits as commits_module
+from vexel.sources import store as store_module
+from vexel.sources.commits import CommitLog
+from vexel.sources.journal import read_journal, read_journal_lines, write_journal
 from vexel.sources.packed import read_packed_vectors, write_packed_vectors
-from vexel.sources.store import append_store, clear_store, last_offset, read_store
+from vexel.sources.pair import append_pair, pair_end, read_pair, read_plain_pair
+from vexel.sources.store import Store, append_store, clear_store, read_store, vacuum_store
 
 
 def rows(spark, *entries):
@@ -153,14 +157,104 @@ def test_clear(spark, tmp_path):
     append_store(rows(spark, (1, "a", {0: 1.0})), path, 384)
     clear_store(spark, path)
     store = read_store(spark, path)
-    assert store.count() == 0 and last_offset(store) == 0
+    assert store.count() == 0 and Store(spark, path).last_offset() == 0
     append_store(rows(spark, (2, "b", {0: 1.0})), path, 384)
     assert read_store(spark, path).first().offset == 1536
+    # The cleared rows are still on disk until they are swept.
+    assert len(vacuum_store(spark, path)) == 1 and vacuum_store(spark, path) == []
+    assert read_store(spark, path).first().text == "b"
 
 
 def test_missing_store_is_an_error(spark, tmp_path):
-    with pytest.raises(PySparkException):
-        read_store(spark, str(tmp_path / "none")).count()
+    with pytest.raises(FileNotFoundError):
+        read_store(spark, str(tmp_path / "none"))
+
+
+def test_a_stopped_append_leaves_nothing(spark, tmp_path, monkeypatch):
+    """Stopped between the data and its record, as by a lost driver."""
+    path = str(tmp_path / "store")
+    append_store(rows(spark, (1, "a", {0: 1.0})), path, 384, ingest_id="one")
+    data = rows(spark, (2, "b", {0: 1.0}), (3, "c", {1: 1.0}))
+    monkeypatch.setattr(store_module.CommitLog, "add", lambda *_: 1 / 0)
+    monkeypatch.setattr(store_module.paths, "delete", lambda *_: None)
+    with pytest.raises(ZeroDivisionError):
+        append_store(data, path, 384, ingest_id="two")
+    monkeypatch.undo()
+    assert len([n for n in os.listdir(path) if n.startswith("append-")]) == 2
+    assert read_store(spark, path).count() == 1
+    assert Store(spark, path).last_offset() == 1536
+    assert append_store(data, path, 384, ingest_id="two")
+    got = [(r.pos, r.text) for r in read_store(spark, path).orderBy("pos").collect()]
+    assert got == [(0, "a"), (1, "b"), (2, "c")]
+    assert len(vacuum_store(spark, path)) == 1
+
+
+def test_the_slower_of_two_writers_goes_behind(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    real, turns = store_module._files, []
+
+    def files(spark_, folder):
+        if not turns:  # another writer commits between this one's data and its record
+            turns.append(1)
+            assert append_store(rows(spark, (9, "other", {0: 1.0})), path, 384)
+        return real(spark_, folder)
+
+    monkeypatch.setattr(store_module, "_files", files)
+    assert append_store(rows(spark, (1, "mine", {0: 1.0})), path, 384, ingest_id="x")
+    got = [(r.pos, r.text) for r in read_store(spark, path).orderBy("pos").collect()]
+    assert got == [(0, "other"), (1, "mine")]
+
+
+def test_log_numbers_are_taken_once(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path))
+    seen = []
+
+    def late(live):
+        # Another writer takes the number while this record is made.
+        if len(live) == 1 and not seen:
+            seen.append(log.add(lambda _: {"kind": "x", "by": "other"}))
+        return {"kind": "x", "after": len(live)}
+
+    log.add(lambda live: {"kind": "x", "after": 0})
+    assert log.add(late) == {"kind": "x", "after": 2, "number": 2}
+    assert [r["number"] for r in log.records()] == [0, 1, 2]
+
+
+def test_long_log_is_read_from_its_snapshot(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits_module, "SNAPSHOT", 4)
+    log = CommitLog(spark, str(tmp_path))
+    for i in range(11):
+        log.add(lambda live, i=i: {"kind": "clear"} if i == 5 else {"kind": "x", "i": i})
+    opened = []
+    real = commits_module.paths.read_text
+    monkeypatch.setattr(
+        commits_module.paths, "read_text", lambda s, p: opened.append(p) or real(s, p)
+    )
+    assert [r["i"] for r in log.records()] == [6, 7, 8, 9, 10]
+    assert len(opened) == 4  # 10, 9, 8 and the snapshot 7
+    assert log.add(lambda live: None) is None
+
+
+def test_append_reads_no_stored_data(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    append_store(rows(spark, (1, "a", {0: 1.0})), path, 384)
+    (old,) = [n for n in os.listdir(path) if n.startswith("append-")]
+    os.rename(f"{path}/{old}", f"{path}/away")
+    assert append_store(rows(spark, (2, "b", {0: 1.0})), path, 384, ingest_id="x")
+    assert not append_store(rows(spark, (2, "b", {0: 1.0})), path, 384, ingest_id="x")
+    assert Store(spark, path).last_offset() == 3072
+    os.rename(f"{path}/away", f"{path}/{old}")
+    assert read_store(spark, path).count() == 2
+
+
+def test_many_files_are_read_in_parts(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    many = rows(spark, *[(i, f"t{i}", {i: 1.0}) for i in range(40)])
+    append_store(many.repartitionByRange(8, "doc_id"), path, 384)
+    want = sorted((r.pos, r.text) for r in read_store(spark, path).collect())
+    assert [p for p, _ in want] == list(range(40))
+    monkeypatch.setattr(store_module, "INDEX_FILES", 3)
+    assert sorted((r.pos, r.text) for r in read_store(spark, path).collect()) == want
 
 
 def test_packed_file(spark, tmp_path):
@@ -184,18 +278,44 @@ def test_packed_edges(spark, tmp_path):
         read_packed_vectors(spark, str(tmp_path / "none"), 3).count()
 
 
-def test_packed_export(spark, tmp_path):
+def packed_bytes(folder):
+    with open(f"{folder}/manifest.json") as manifest:
+        runs = json.load(manifest)["runs"]
+    return b"".join(open(f"{folder}/{r['vectors']}", "rb").read() for r in runs)
+
+
+@pytest.mark.parametrize("in_runs", [False, True])
+def test_packed_export(spark, tmp_path, in_runs):
     path = str(tmp_path / "out")
     data = [(i, [float(i), -float(i)]) for i in range(100)]
-    write_packed_vectors(vectors_df(spark, data[::-1]).repartition(5), path, 2)
-    parts = sorted(p for p in os.listdir(path))
-    assert all(p.startswith("part-") for p in parts)
-    raw = b"".join((tmp_path / "out" / p).read_bytes() for p in parts)
-    assert raw == np.array([v for _, v in data], "<f4").tobytes()
+    given = vectors_df(spark, data[::-1]).repartition(5, "pos")
+    if in_runs:
+        given = given.repartitionByRange(5, "pos").sortWithinPartitions("pos")
+    write_packed_vectors(given, path, 2, in_runs=in_runs)
+    assert packed_bytes(path) == np.array([v for _, v in data], "<f4").tobytes()
     back = read_packed_vectors(spark, path, 2, split_bytes=80)
     assert sorted((r.pos, r.embedding) for r in back.collect()) == data
 
 
+def test_runs_are_not_shuffled_and_must_tile(spark, tmp_path):
+    data = [(i, [float(i)]) for i in (7, 5, 6, 0, 1, 2, 3, 4)]
+    path = str(tmp_path / "runs")
+    write_packed_vectors(vectors_df(spark, data).coalesce(1), path, 1, in_runs=True)
+    assert packed_bytes(path) == np.arange(8, dtype="<f4").tobytes()
+    for bad in ([(0, [1.0]), (2, [1.0])], [(0, [1.0]), (0, [1.0])], [(1, [1.0])]):
+        with pytest.raises(PySparkException, match="positions must follow"):
+            write_packed_vectors(vectors_df(spark, bad), str(tmp_path / "bad"), 1)
+        assert not (tmp_path / "bad").exists()
+
+
+def test_an_unfinished_export_cannot_be_read(spark, tmp_path):
+    path = tmp_path / "out"
+    write_packed_vectors(vectors_df(spark, [(0, [1.0])]), str(path), 1)
+    (path / "manifest.json").unlink()
+    with pytest.raises(PySparkException, match="no finished export"):
+        read_packed_vectors(spark, str(path), 1).collect()
+
+
 def test_failed_packed_export_leaves_no_data(spark, tmp_path):
     path = tmp_path / "out"
     with pytest.raises(PySparkException):
@@ -212,7 +332,7 @@ def test_missing_journal_is_created(spark, tmp_path):
     path = tmp_path / "meta.jsonl"
     journal = read_journal(spark, str(path), 3)
     assert journal.count() == 0 and path.exists()
-    assert last_offset(journal) == 0
+    assert read_journal_lines(spark, str(tmp_path / "lines.jsonl")).count() == 0
 
 
 def test_journal_positions_come_from_offsets(spark, tmp_path):
@@ -222,17 +342,48 @@ def test_journal_positions_come_from_offsets(spark, tmp_path):
     journal = read_journal(spark, str(path), 3)
     assert sorted((r.pos, r.text) for r in journal.collect()) == [(0, "a <b> & c"), (2, "c")]
     vectors = vectors_df(spark, [(i, [0.0] * 3) for i in range(3)])
-    got = attach_text(vectors.select("pos"), journal, 3).collect()
+    got = attach_text(vectors.select("pos"), journal).collect()
     assert sorted((r.pos, r.text) for r in got) == [(0, "a <b> & c"), (1, ""), (2, "c")]
-    assert last_offset(journal) == 36
 
 
-@pytest.mark.parametrize("max_hits", [3, 5_000])
-def test_repeated_and_crooked_offsets(spark, tmp_path, max_hits):
+def test_journal_lines_have_their_numbers(spark, tmp_path):
+    """Blank lines before the first entry do not count, all others do."""
+    text = ['{"Offset":12,"Text":"a"}', "", "not json", '{"Text":"no offset"}', '{"Offset":12}']
+    text += [f'{{"Offset":{i},"Text":"é{i}"}}' + "\r" * (i % 2) for i in range(5, 400)]
+    path = tmp_path / "meta.jsonl"
+    path.write_bytes(("\n \t\n" + "\n".join(text) + "\n\n").encode())
+    want = [(0, 12, "a"), (1, None, ""), (2, None, ""), (3, None, "no offset"), (4, 12, "")]
+    want += [(i, i, f"é{i}") for i in range(5, 400)] + [(400, None, "")]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("128m", "1k", "100"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            got = read_journal_lines(spark, str(path))
+            if split == "1k":
+                assert got.rdd.getNumPartitions() > 3
+            assert sorted(tuple(r) for r in got.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_vector_and_line_are_paired_by_number(spark, tmp_path):
+    vectors, journal = tmp_path / "v.bin", tmp_path / "meta.jsonl"
+    vectors.write_bytes(np.eye(4, dtype="<f4").tobytes() + b"\x01")
+    journal.write_text('{"Offset":999,"Text":"a"}\n{"Text":"b"}\nbroken\n')
+    got = read_plain_pair(spark, str(vectors), str(journal), 4).orderBy("pos").collect()
+    assert [(r.pos, r.offset, r.text) for r in got] == [
+        (0, 16, "a"), (1, 32, "b"), (2, 48, ""), (3, 64, "")]
+    import_store(spark, str(vectors), str(journal), str(tmp_path / "store"), 4)
+    back = read_store(spark, str(tmp_path / "store")).orderBy("pos").collect()
+    assert [(r.pos, r.text, r.embedding) for r in back] == [
+        (r.pos, r.text, r.embedding) for r in got]
+
+
+def test_repeated_and_crooked_offsets(spark, tmp_path):
     path = tmp_path / "twice.jsonl"
     path.write_text('{"Offset":12,"Text":"b"}\n{"Offset":12,"Text":"a"}\n')
     hits = vectors_df(spark, [(i, [0.0] * 3) for i in range(2)]).select("pos")
-    got = attach_text(hits, read_journal(spark, str(path), 3), max_hits).collect()
+    got = attach_text(hits, read_journal(spark, str(path), 3)).collect()
     assert sorted((r.pos, r.text) for r in got) == [(0, "a"), (1, "")]
     path = tmp_path / "crooked.jsonl"
     path.write_text('{"Offset":13,"Text":"b"}\n')
@@ -255,19 +406,44 @@ def test_journal_round_trip(spark, tmp_path):
 
 
 def test_transfer(spark, tmp_path):
-    first, copy = str(tmp_path / "store"), str(tmp_path / "copy")
-    many = [(i, f"text {i}", {i: 2.0, i + 1: 1.0}) for i in range(30)]
-    append_store(rows(spark, *many), first, 384)
+    first, copy, pair = (str(tmp_path / n) for n in ("store", "copy", "pair"))
+    many = [(i, f"text {i}\n", {i: 2.0, i + 1: 1.0}) for i in range(30)]
+    append_store(rows(spark, *many).repartitionByRange(4, "doc_id"), first, 384)
     store = read_store(spark, first)
-    out = (str(tmp_path / "vectors"), str(tmp_path / "journal"))
-    export_store(store, *out, 384)
-    import_store(spark, *out, copy, 384)
+    assert export_store(spark, first, pair) == 30
+    assert export_store(spark, first, pair) == 0
+    import_pair(spark, pair, copy, 384)
     cols = ["pos", "offset", "text", "embedding"]
     back = read_store(spark, copy).select(cols)
     assert back.count() == 30
     assert back.exceptAll(store.select(cols)).count() == 0
     with pytest.raises(FileExistsError):
-        import_store(spark, *out, copy, 384)
+        import_pair(spark, pair, copy, 384)
+
+
+def test_pair_grows_by_whole_generations(spark, tmp_path):
+    path = str(tmp_path / "pair")
+    assert pair_end(spark, path) == 0
+    with pytest.raises(FileNotFoundError):
+        read_pair(spark, path, 2)
+
+    def some(first, n):
+        data = [(i, [float(i), 1.0], f"t{i}") for i in range(first, first + n)]
+        return spark.createDataFrame(data, "pos bigint, embedding array<float>, text string")
+
+    assert append_pair(some(0, 5), path, 2) == 5
+    assert pair_end(spark, path) == 40
+    # A torn generation: vectors without a record.
+    write_packed_vectors(some(5, 9), f"{path}/generation-torn", 2, first=5)
+    with pytest.raises(PySparkException, match="positions must follow"):
+        append_pair(some(0, 3), path, 2)
+    with pytest.raises(ValueError, match="length 2"):
+        append_pair(some(5, 3), path, 3)
+    assert append_pair(some(5, 3), path, 2) == 3
+    got = read_pair(spark, path, 2).orderBy("pos").collect()
+    assert [(r.pos, r.offset, r.text) for r in got] == [
+        (i, 8 * (i + 1), f"t{i}") for i in range(8)]
+    assert [r.embedding[0] for r in got] == [float(i) for i in range(8)]
 
 
 def test_work_dir_is_below_the_configured_folder(spark):

@@ -7,6 +7,8 @@ returns the same doubles.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,12 +114,22 @@ def mean_pool(hidden: Column | str, mask: Column | str) -> Column:
 def mean_pool_rows(
     df: DataFrame, keys: list[str], hidden: str = "embedding", mask: str = "mask"
 ) -> DataFrame:
-    """Masked mean where every token is a row of its own.
+    """(keys, pooled): masked mean where every token is a row of its own.
 
-    Long form: (keys, dim, value).  Partial sums are combined before the shuffle,
-    so a key that holds a third of all rows moves ``dim`` rows per partition.
-    A key with no unmasked token yields NULL values.
+    A vector aggregate: tasks add up whole vectors, and one partial sum per key and task
+    is shuffled, whatever share of the rows a key holds.  No row is taken apart.  A key
+    with no unmasked token has NULL elements.
     """
-    long = df.select(*keys, mask, F.posexplode(hidden).alias("dim", "x"))
-    kept = F.when(F.col(mask) == 1, F.col("x").cast("double"))
-    return long.groupBy(*keys, "dim").agg(F.avg(kept).alias("value"))
+    kept = F.col(mask) == 1
+    masked = F.when(kept, F.col(hidden)).otherwise(
+        F.transform(hidden, lambda _: F.lit(0.0).cast("float"))
+    )
+    rows = df.select(
+        *keys, array_to_vector(masked).alias("__v"), kept.cast("int").alias("__kept")
+    )
+    sums = rows.groupBy(*keys).agg(
+        vector_to_array(Summarizer.sum(F.col("__v"))).alias("__sum"),
+        F.sum("__kept").alias("__n"),
+    )
+    n = F.nullif("__n", F.lit(0))
+    return sums.select(*keys, F.transform("__sum", lambda x: x / n).alias("pooled"))

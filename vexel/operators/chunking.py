@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,16 +46,33 @@ def chunk_fixed(size: int) -> Chunker:
     return lambda text: F.regexp_extract_all(text, pattern, F.lit(0))
 
 
-def python_chunker(fn: Callable[[str], Sequence[str]]) -> Chunker:
-    """Wrap a plain ``text -> list of chunks`` function as an Arrow-batched UDF."""
+def arrow_chunker(fn: Callable[[pa.Array], pa.ListArray]) -> Chunker:
+    """A custom chunker on Arrow batches: an array of texts in, their lists out.
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: list(fn(t)))
+    ``fn`` sees whole batches of strings, never null ones, and gives a list of strings
+    for each text, in order, so a chunker of Arrow functions makes no Python object per
+    row.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(texts: pa.Array) -> pa.Array:
+        lists = fn(texts.fill_null(""))
+        if len(lists) != len(texts):
+            raise ValueError("the chunker must return one list per text")
+        return lists
 
     return lambda text: run(text)
 
 
+def filter_lists(lists: pa.ListArray, keep: pa.Array) -> pa.ListArray:
+    """Each list with only the values for which ``keep``, one per value, is true."""
+    kept = np.asarray(keep.fill_null(False).to_numpy(zero_copy_only=False), bool)
+    first = lists.offsets.to_numpy()
+    before = np.concatenate([[0], np.cumsum(kept)])
+    ends = before[first - first[0]].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), lists.flatten().filter(keep))
+
+
 def _checked_chunks(chunks: Column) -> Column:
     message = F.lit("chunker produced no chunks")
     return F.when(F.size(chunks) > 0, chunks).otherwise(

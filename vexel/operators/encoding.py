@@ -5,12 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vexel.functions.tokens import (
     PAD_ID,
@@ -23,10 +19,11 @@ from vexel.functions.tokens import (
 )
 from vexel.schema import DEFAULT_MAX_TOKENS, DEFAULT_PAD_TO
 
-# Largest vocabulary sent to every task; a larger one is joined.
-MAX_LOOKUP_TOKENS = 1_000_000
-# Copies of the vocabulary in that join, so that a frequent token is spread.
-JOIN_SALT = 32
+# One text in so many is looked at to find the tokens that many texts have.
+SAMPLED = 64
+# Such a token is in more than one of so many texts.  There are at most this number
+# times the tokens of a text, whatever the data.
+FREQUENT_SHARE = 100
 
 
 @dataclass(frozen=True)
@@ -39,43 +36,18 @@ class SpecialTokens:
     pad: int = PAD_ID
 
 
-def _lookup(vocab: pa.Table, unk: int):
-    words = vocab.column("token").combine_chunks()
-    ids = vocab.column("id").to_numpy()
+def _frequent(texts: DataFrame, text_col: str, body: Column, vocab: DataFrame) -> DataFrame:
+    """(token, id) of the tokens found in a large share of the sampled texts.
 
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def run(tokens: pa.Array) -> pa.Array:
-        found = pc.index_in(tokens.flatten(), value_set=words)
-        at = found.fill_null(-1).to_numpy()
-        known = ids[np.maximum(at, 0)] if len(ids) else np.zeros(len(at), np.int64)
-        flat = pa.array(np.where(at < 0, unk, known), pa.int64())
-        first = tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
-        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), flat)
-
-    return run
-
-
-def _join_ids(
-    bodies: DataFrame, vocab: DataFrame, key: Sequence[str], unk: int, salt: int
-) -> DataFrame:
-    """(key, ids) by a shuffled join, for a vocabulary too large to send around.
-
-    Every token row picks one of ``salt`` copies of the vocabulary by its row and
-    position, so that one frequent token is spread over ``salt`` keys.
+    Only decides where ids are looked up, not what they are; bounded by
+    ``FREQUENT_SHARE`` times the tokens of a text.
     """
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
-    words = vocab.groupBy("token").agg(F.min("id").alias("id"))
-    words = words.withColumn("salt", copies)
-    rows = bodies.select(*key, F.posexplode_outer("body").alias("at", "token"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64(*key, "at"), F.lit(salt)).cast("int"))
-    found = rows.join(words, ["token", "salt"], "left")
-    entry = F.when(
-        F.col("at").isNotNull(),
-        F.struct("at", F.coalesce("id", F.lit(unk)).cast("bigint").alias("id")),
-    )
-    # A group is the tokens of one text, which came from one row.
-    grouped = found.groupBy(*key).agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    return grouped.select(*key, F.col("e.id").alias("ids"))
+    sampled = texts.where(F.pmod(F.xxhash64(text_col), F.lit(SAMPLED)) == 0)
+    tokens = sampled.select(F.explode(F.array_distinct(body)).alias("token"))
+    total = sampled.select(F.count(F.lit(1))).scalar()
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    often = counts.where((F.col("n") > 1) & (F.col("n") * FREQUENT_SHARE > total))
+    return vocab.join(F.broadcast(often.select("token")), "token", "left_semi")
 
 
 def encode_tokens(
@@ -88,37 +60,56 @@ def encode_tokens(
     with_special: bool = True,
     max_len: int = DEFAULT_MAX_TOKENS,
     pad_to: int = DEFAULT_PAD_TO,
-    max_lookup_tokens: int = MAX_LOOKUP_TOKENS,
-    salt: int = JOIN_SALT,
 ) -> DataFrame:
-    """Add ``input_ids, tokens, attention_mask, token_type_ids, length, n_tokens``.
+    """``key`` with ``input_ids, tokens, attention_mask, token_type_ids, length, n_tokens``.
 
-    ``vocab`` is (token, id).  Texts are cut to ``max_len`` tokens, special ones
-    included, and padded on the right to ``pad_to``; longer rows stay longer.
-    ``key`` names the columns that identify a row of ``texts``.
+    ``vocab`` is (token, id) of any size; of a token listed twice the lowest id counts.
+    Texts are cut to ``max_len`` tokens, special ones included, and padded on the right
+    to ``pad_to``; longer rows stay longer.  Keys may repeat or be NULL and may have any
+    name: rows are told apart by themselves.
 
-    The usual vocabulary (tens of thousands of words) goes to every task and each
-    row keeps its tokens: nothing is shuffled.  Beyond ``max_lookup_tokens`` the
-    tokens are joined to the vocabulary instead and regrouped by ``key``.
+    One plan at every size.  Tokens that many texts have are found in a sample and get
+    their ids from a small table sent to every task; all others are joined with the
+    vocabulary by token, where none is frequent enough to burden a task; then each
+    text's ids are put together again.
     """
     ends = 2 if with_special else 0
     if max_len < ends:
         raise ValueError("max_len leaves no room for the special tokens")
-    vocab = vocab.select("token", F.col("id").cast("bigint").alias("id"))
-    bodies = texts.withColumn(
-        "body", truncate_ids(split_tokens(text_col), max_len - ends)
+    ids = vocab.groupBy("token").agg(F.min(F.col("id").cast("bigint")).alias("id"))
+    body = truncate_ids(split_tokens(text_col), max_len - ends)
+    often = _frequent(texts.select(text_col), text_col, body, ids).select(
+        F.col("token").alias("__token"), F.col("id").alias("__often")
+    )
+    keys = [F.col(k).alias(f"__key{i}") for i, k in enumerate(key)]
+    names = [f"__key{i}" for i in range(len(keys))]
+    rows = texts.select(*keys, body.alias("__body")).withColumn(
+        "__row", F.monotonically_increasing_id()
+    )
+    each = rows.select(*names, "__row", F.posexplode_outer("__body").alias("__at", "__token"))
+    each = each.join(F.broadcast(often), "__token", "left")
+    # What has its id meets nothing in the join, and is spread over it by its row.
+    sought = F.when(F.col("__often").isNull(), F.col("__token")).otherwise(
+        F.concat(F.lit("\0"), F.col("__row").cast("string"))
+    )
+    rare = ids.select(F.col("token").alias("__sought"), F.col("id").alias("__rare"))
+    found = each.withColumn("__sought", sought).join(rare, "__sought", "left")
+    entry = F.when(
+        F.col("__at").isNotNull(),
+        F.struct(
+            "__at",
+            F.coalesce("__often", "__rare", F.lit(special.unk)).cast("bigint").alias("id"),
+            F.col("__token").alias("token"),
+        ),
+    )
+    # A group is the tokens of one text, at most ``max_len``.
+    grouped = found.groupBy("__row").agg(
+        *(F.first(n).alias(n) for n in names),
+        F.array_sort(F.collect_list(entry)).alias("__entries"),
+    )
+    ided = grouped.select(
+        *names, F.col("__entries.id").alias("ids"), F.col("__entries.token").alias("body")
     )
-    small = vocab.limit(max_lookup_tokens + 1).toArrow()
-    if small.num_rows <= max_lookup_tokens:
-        # Of a word listed twice the lowest id counts.
-        small = small.sort_by("id")
-        ided = bodies.withColumn("ids", _lookup(small, special.unk)("body"))
-    else:
-        ids = _join_ids(bodies, vocab, key, special.unk, salt)
-        # NULL is a key value like any other.
-        theirs = ids.select(*(F.col(k).alias(f"__{k}") for k in key), "ids")
-        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key]
-        ided = bodies.join(theirs, same).drop(*(f"__{k}" for k in key))
     words = F.zip_with(
         "body", "ids", lambda t, i: F.when(i == special.unk, "[UNK]").otherwise(t)
     )
@@ -136,10 +127,13 @@ def encode_tokens(
     )
     length = F.col("length").cast("int")
     n = F.col("n_tokens")
-    return (
+    out = (
         padded.withColumn("input_ids", pad_ids(input_ids, pad_to, special.pad, size=n))
         .withColumn("tokens", pad_ids(words, pad_to, PAD_TOKEN, size=n))
         .withColumn("attention_mask", attention_mask("n_tokens", length))
         .withColumn("token_type_ids", type_ids(length))
-        .drop("body", "ids")
+    )
+    return out.select(
+        *(F.col(n).alias(k) for n, k in zip(names, key, strict=True)),
+        "input_ids", "tokens", "attention_mask", "token_type_ids", "length", "n_tokens",
     )

@@ -78,11 +78,16 @@ class TopK:
     A float32 matrix product rules out most pairs; those within its rounding
     error of the k-th best are scored again by :func:`ordered_dot`, so the result
     is exact.  Memory is bounded by queries x k, whatever the number of rows.
+    ``floor`` is a score per query that k other rows are known to reach: what is below
+    it is in no top k and is let go at once.
     """
 
-    def __init__(self, queries: np.ndarray, k: int) -> None:
+    def __init__(
+        self, queries: np.ndarray, k: int, floor: np.ndarray | None = None
+    ) -> None:
         self.queries = queries
         self.k = k
+        self.floor = np.full(len(queries), -np.inf) if floor is None else floor
         self.norms = np.sqrt(np.einsum("ij,ij->i", queries, queries, dtype=np.float64))
         self.query = np.zeros(0, np.int64)
         self.score = np.zeros(0)
@@ -113,9 +118,9 @@ class TopK:
     def _current_bounds(self) -> tuple[np.ndarray, np.ndarray]:
         count = np.bincount(self.query, minlength=len(self.queries))
         full = count == self.k
-        bound = np.full(len(self.queries), -np.inf)
+        bound = self.floor.copy()
         last = np.cumsum(count) - 1
-        bound[full] = self.score[last[full]]
+        bound[full] = np.maximum(bound[full], self.score[last[full]])
         return bound, full
 
     def _candidates(self, x, pos, part, bound, full):
@@ -155,8 +160,16 @@ class TopK:
                 return kept[rows], cols
         return _true_cells(keep)
 
+    def kth(self) -> np.ndarray:
+        """The k-th best score of each query, -inf where there are fewer hits."""
+        if not self.k:
+            return self.floor
+        bound, full = self._current_bounds()
+        return np.where(full, bound, self.floor)
+
     def _merge(self, query: np.ndarray, score: np.ndarray, pos: np.ndarray) -> None:
-        real = ~np.isnan(score)
+        # A score equal to the floor may still win by its position.
+        real = score >= self.floor[query]
         query = np.concatenate([self.query, query[real]])
         score = np.concatenate([self.score, score[real]])
         pos = np.concatenate([self.pos, pos[real]])

@@ -17,10 +17,13 @@ def in_key_order(df: DataFrame, key: str, text: str) -> DataFrame:
     """``df`` ordered by key, then text: an order of the data alone.
 
     Neither the number of cores nor the cut of the input changes it.  The hash
-    lets one key with many rows take several ranges.
+    lets one key with many rows take several ranges.  There are twice as many ranges
+    as the input has splits, so they stay as small as those.
     """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    number = 2 * max(cores, df.rdd.getNumPartitions())
     keys = [F.col(key), F.xxhash64(key, text)]
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys, text)
+    return df.repartitionByRange(number, *keys).sortWithinPartitions(*keys, text)
 
 
 def assign_offsets(

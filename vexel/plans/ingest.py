@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -25,15 +26,18 @@ class IngestResult:
     n_chunks: int
     min_len: int | None
     max_len: int | None
-    seconds: float
+    #: Seconds in the model, added up over the tasks, and of the whole job.
+    embed_seconds: float
+    store_seconds: float
 
     def lines(self, source: str | None = None) -> list[str]:
-        return summary_lines(self.n_chunks, self.seconds, source)
+        return summary_lines(
+            self.n_chunks, self.embed_seconds, self.store_seconds, source
+        )
 
 
-def embedded_chunks(
+def document_chunks(
     docs: DataFrame,
-    model: EmbeddingModel,
     chunker: Chunker | None = None,
     *,
     id_col: str = "doc_id",
@@ -42,11 +46,11 @@ def embedded_chunks(
     drop_empty: bool = False,
     spread: bool = True,
 ) -> DataFrame:
-    """(doc_id, pos, chunk, embedding) with unit vectors."""
+    """(doc_id, pos, chunk): trimmed, checked and cut."""
     docs = docs.select(id_col, text_col)
     if spread:
         docs = spread_if_narrow(docs, id_col, text_col)
-    chunks = chunk_documents(
+    return chunk_documents(
         docs,
         chunker,
         id_col=id_col,
@@ -54,7 +58,18 @@ def embedded_chunks(
         strict=strict,
         drop_empty=drop_empty,
     )
-    return embed(chunks, model, unit=True)
+
+
+def embedded_chunks(
+    docs: DataFrame,
+    model: EmbeddingModel,
+    chunker: Chunker | None = None,
+    *,
+    timer: Accumulator | None = None,
+    **options,
+) -> DataFrame:
+    """(doc_id, pos, chunk, embedding) with unit vectors; see :func:`document_chunks`."""
+    return embed(document_chunks(docs, chunker, **options), model, unit=True, timer=timer)
 
 
 def ingest(
@@ -77,10 +92,12 @@ def ingest(
     runs once per chunk.
     """
     ordered = in_key_order(docs.select(id_col, text_col), id_col, text_col)
+    timer = docs.sparkSession.sparkContext.accumulator(0.0)
     rows = embedded_chunks(
         ordered,
         model,
         chunker,
+        timer=timer,
         id_col=id_col,
         text_col=text_col,
         strict=strict,
@@ -104,5 +121,6 @@ def ingest(
         metrics.get("n_chunks", 0),
         metrics.get("min_len"),
         metrics.get("max_len"),
+        timer.value,
         seconds,
     )

@@ -29,7 +29,7 @@ vocab AS (
     SELECT token, count(*) AS n
     FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS token
           FROM documents)
-    GROUP BY token ORDER BY n DESC, token LIMIT 30000
+    GROUP BY token
   )
 )"""
 
@@ -241,6 +241,17 @@ WITH long AS (
 SELECT rank::BIGINT AS rank, round(coalesce(score, 0), 6) {_LONG_ZERO} AS score,
        coalesce('label ' || label, '') AS text
 FROM (SELECT range AS rank FROM range(1, 16)) LEFT JOIN ranked USING (rank)""",
+    "search_every_vector": f"""
+WITH scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS pos,
+         list_dot_product(b.embedding::DOUBLE[], a.embedding::DOUBLE[]) AS score
+  FROM embeddings a, embeddings b
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pos) AS rank
+  FROM scored
+)
+SELECT query_id, rank::BIGINT AS rank, pos, round(score, 6) {_LONG_ZERO} AS score
+FROM ranked WHERE rank <= 10""",
     "search_batch": _BATCH,
     "search_batch_blocks": _BATCH,
     "semantic_search": f"""
@@ -281,6 +292,29 @@ SELECT query_id, rank::BIGINT AS rank, round(score, 6) {_LONG_ZERO} AS score,
        s.pos::BIGINT AS pos, r.doc_id, s.chunk_pos::INTEGER AS chunk_pos, chunk AS text
 FROM ranked r JOIN stored s ON r.doc_id = s.doc_id AND r.pos = s.chunk_pos
 WHERE rank <= 10""",
+    "file_search": f"""
+WITH items AS (
+  SELECT item_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM benchmark
+), chunks AS (
+  SELECT item_id, i, substr(text, i * 80 + 1, 80) AS chunk
+  FROM (SELECT item_id, text, unnest(range((length(text) + 79) // 80)) AS i FROM items)
+), stored AS (
+  SELECT chunk, row_number() OVER (ORDER BY item_id, i) - 1 AS pos FROM chunks
+), queries AS (
+  SELECT item_id AS query_id, substr(text, 1, 40) AS text FROM benchmark
+), texts AS (
+  SELECT chunk AS text FROM chunks UNION SELECT text FROM queries
+), {_HASHED}, query_vectors AS (
+  SELECT query_id, u AS q FROM queries JOIN unit USING (text)
+), ranked AS (
+  SELECT query_id, pos, chunk, list_dot_product(u, q) AS score,
+         row_number() OVER (PARTITION BY query_id
+           ORDER BY list_dot_product(u, q) DESC, pos) AS rank
+  FROM stored JOIN unit ON chunk = unit.text CROSS JOIN query_vectors
+)
+SELECT query_id, rank::BIGINT AS rank, round(score, 6) {_LONG_ZERO} AS score,
+       pos::BIGINT AS pos, chunk AS text
+FROM ranked WHERE rank <= 3""",
     "store_append": f"""
 WITH {_STORED}
 SELECT pos + turn * (SELECT count(*) FROM embeddings) AS pos, ingest_id,
@@ -289,17 +323,39 @@ FROM stored, (VALUES ('first', 0), ('second', 1)) t(ingest_id, turn)""",
     "store_offsets": """
 SELECT range AS pos, (range + 1) * 256 AS "offset"
 FROM range((SELECT 2 * count(*) FROM embeddings))""",
+    "store_retry": """
+SELECT row_number() OVER (PARTITION BY turn ORDER BY vec_id) - 1 + turn * (SELECT count(*) FROM embeddings)
+         AS pos, ingest_id, vec_id AS doc_id, 'label ' || label AS text
+FROM embeddings, (VALUES ('first', 0), ('second', 1), ('third', 2)) t(ingest_id, turn)
+""",
     "store_clear": """
-SELECT 'before' AS step, 2 * count(*) AS n_rows FROM embeddings
-UNION ALL SELECT 'after', 0""",
+SELECT 'before' AS step, 2 * count(*) AS n_rows, 2 * count(*) * 256 AS last_offset
+FROM embeddings
+UNION ALL SELECT 'cleared', 0, NULL
+UNION ALL SELECT 'after', count(*), count(*) * 256 FROM embeddings""",
     "packed_roundtrip": f"""
 SELECT pos, (unnest(range(64)))::INTEGER AS dim,
        round(unnest(embedding)::DOUBLE, 6) {_LONG_ZERO} AS value
 FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pos, embedding
       FROM embeddings)""",
+    "packed_append": f"""
+WITH {_STORED}, halves AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS pos
+  FROM embeddings WHERE vec_id % 2 = 0
+), first AS (SELECT count(*) AS n FROM halves)
+SELECT h.pos, (h.pos + 1) * 256 AS "offset", s.text, 1 AS generation, s.dim, s.value
+FROM halves h JOIN stored s USING (vec_id)
+UNION ALL
+SELECT pos + n, (pos + n + 1) * 256, text, 2, dim, value FROM stored, first""",
     "journal_roundtrip": """
-SELECT vec_id AS pos, coalesce(text, '') AS text
-FROM embeddings LEFT JOIN documents ON doc_id = vec_id""",
+SELECT doc_id AS pos, coalesce(text, '') AS text FROM documents""",
+    "journal_lines": """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos,
+       CASE WHEN doc_id % 7 <> 3 AND doc_id % 11 <> 5 AND doc_id % 3 > 0
+            THEN 64::BIGINT END AS "offset",
+       CASE WHEN doc_id % 7 = 3 OR doc_id % 11 = 5 THEN '' ELSE coalesce(text, '') END
+         AS text
+FROM documents""",
     "store_transfer": f"""
 WITH {_STORED}
 SELECT pos, (pos + 1) * 256 AS "offset", text, dim, value FROM stored""",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vexel.functions import tokens as tk
@@ -13,13 +15,15 @@ from vexel.operators import search as srch
 from vexel.operators.embedding import embed
 from vexel.operators.encoding import encode_tokens
 from vexel.operators.models import HashingModel
-from vexel.plans.ingest import embedded_chunks, ingest
+from vexel.operators.numbering import assign_offsets
+from vexel.plans.ingest import document_chunks, ingest
 from vexel.plans.semantic import search_documents
-from vexel.plans.transfer import export_store, import_store
-from vexel.session import spread_if_narrow, work_dir
-from vexel.sources.journal import read_journal, write_journal
+from vexel.plans.transfer import export_store, import_pair
+from vexel.session import range_count, spread_if_narrow, work_dir
+from vexel.sources.journal import read_journal, read_journal_lines, write_journal
 from vexel.sources.packed import read_packed_vectors, write_packed_vectors
-from vexel.sources.store import append_store, clear_store, read_store
+from vexel.sources.pair import pair_records, read_pair
+from vexel.sources.store import Store, append_store, clear_store, read_store, write_rows
 from vexel.sources.text_files import from_text_table, read_text_files
 
 DIM = 64
@@ -70,12 +74,16 @@ def text_source(spark, sf_dir):
     )
 
 
-def file_source(spark, sf_dir):
+def _benchmark_files(spark, sf_dir) -> DataFrame:
     """Every benchmark text written to a file of its own and read back."""
     folder = work_dir(spark, "files")
     items = table(spark, sf_dir, "benchmark")
     items.select("item_id", "text").write.partitionBy("item_id").text(folder)
-    files = read_text_files(spark, folder)
+    return read_text_files(spark, folder)
+
+
+def file_source(spark, sf_dir):
+    files = _benchmark_files(spark, sf_dir)
     return require_text(files).select(F.col("item_id").cast("bigint"), "text")
 
 
@@ -103,26 +111,32 @@ def chunk_passthrough(spark, sf_dir):
 def require_chunks(spark, sf_dir):
     """A custom chunker: lines of more than 40 characters; some texts have none."""
     docs = table(spark, sf_dir, "documents")
-    long_lines = chunking.python_chunker(
-        lambda text: [line for line in text.split("\n") if len(line) > 40]
-    )
-    return chunking.chunk_documents(docs, long_lines)
+
+    def long_lines(texts: pa.Array) -> pa.ListArray:
+        lines = pc.split_pattern(texts, "\n")
+        return chunking.filter_lists(lines, pc.greater(pc.utf8_length(lines.flatten()), 40))
+
+    return chunking.chunk_documents(docs, chunking.arrow_chunker(long_lines))
 
 
 # Token encoding
 
 
 def vocabulary(spark, sf_dir) -> DataFrame:
-    """(token, id): the 30,000 most frequent words of the documents."""
+    """(token, id): every word of the documents, the most frequent first."""
     docs = spread_if_narrow(
         table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text"
     )
     words = docs.select(F.explode(tk.split_tokens("text")).alias("token"))
     counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    kept = work_dir(spark, "words")
+    counts.write.parquet(kept)
+    counts = spark.read.schema(counts.schema).parquet(kept)
+    # About 30 bytes a word.
+    ranges = range_count(spark, 30 * counts.count())
     order = [F.desc("n"), F.asc("token")]
-    top = counts.orderBy(*order).limit(30_000)
-    rank = F.row_number().over(Window.orderBy(*order))
-    return top.select("token", (rank + 999).cast("bigint").alias("id"))
+    ordered = counts.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return assign_offsets(ordered, 1).select("token", (F.col("pos") + 1000).alias("id"))
 
 
 def _encoded_row(df: DataFrame, *key: str) -> DataFrame:
@@ -185,8 +199,7 @@ def mean_pool(spark, sf_dir):
 
 def mean_pool_rows(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings").withColumn("mask", F.col("vec_id") % 2)
-    means = vec.mean_pool_rows(emb, ["label"])
-    return means.withColumn("value", F.round("value", 6))
+    return long_form(vec.mean_pool_rows(emb, ["label"]), "label", "pooled")
 
 
 # Vector functions
@@ -257,17 +270,15 @@ def search_topk_padded(spark, sf_dir):
     """The label means as a store of 10 vectors, asked for 15 hits."""
     emb = table(spark, sf_dir, "embeddings").withColumn("mask", F.lit(1))
     means = vec.mean_pool_rows(emb, ["label"])
-    store = means.groupBy(F.col("label").cast("bigint").alias("pos")).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("dim", "value"))),
-            lambda e: e["value"].cast("float"),
-        ).alias("embedding")
+    store = means.select(
+        F.col("label").cast("bigint").alias("pos"),
+        F.col("pooled").cast("array<float>").alias("embedding"),
     )
     store = store.withColumn("text", F.concat(F.lit("label "), F.col("pos")))
     query = spark.createDataFrame(
         [(0, _first_vector(spark, sf_dir))], "query_id bigint, embedding array<float>"
     )
-    hits = srch.attach_text(srch.search_batch(store, query, DIM, 15), store, 15)
+    hits = srch.attach_text(srch.search_batch(store, query, DIM, 15), store)
     padded = srch.pad_hits(hits, query, 15)
     return _rounded(padded).select("rank", "score", "text")
 
@@ -279,7 +290,7 @@ def search_batch(spark, sf_dir):
 
 
 def search_batch_blocks(spark, sf_dir):
-    """The same with room for three queries at a time: one pass per block."""
+    """The same in blocks of three queries, which share one pass over the store."""
     hits = srch.search_batch(
         vectors(spark, sf_dir),
         _label_queries(spark, sf_dir),
@@ -289,6 +300,15 @@ def search_batch_blocks(spark, sf_dir):
     return _rounded(hits).select("query_id", "rank", "pos", "score")
 
 
+def search_every_vector(spark, sf_dir):
+    """Every vector of the table as a query against all of them."""
+    store = vectors(spark, sf_dir)
+    queries = store.select(F.col("pos").alias("query_id"), "embedding")
+    return _rounded(srch.search_batch(store, queries, DIM)).select(
+        "query_id", "rank", "pos", "score"
+    )
+
+
 def first_english_chunk(spark, sf_dir) -> str:
     docs = table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
     text = docs.agg(F.min_by("text", "doc_id")).first()[0]
@@ -323,14 +343,30 @@ def _language_queries(spark, sf_dir) -> DataFrame:
 
 def store_search(spark, sf_dir):
     """All documents ingested into a store, then searched for four texts."""
-    store = read_store(spark, _document_store(spark, sf_dir))
+    store = Store(spark, _document_store(spark, sf_dir))
     hits = srch.search(store, _language_queries(spark, sf_dir), MODEL)
-    places = store.select("pos", "doc_id", "chunk_pos")
+    places = store.rows(store.files_of(hits)).select("pos", "doc_id", "chunk_pos")
     return _rounded(hits.join(places, "pos")).select(
         "query_id", "rank", "score", "pos", "doc_id", "chunk_pos", "text"
     )
 
 
+def file_search(spark, sf_dir):
+    """Benchmark texts as files, ingested with another chunker, then searched.
+
+    From files to hits in one query: read, trim, cut, embed, store, search.
+    """
+    files = _benchmark_files(spark, sf_dir)
+    docs = files.select(F.col("item_id").cast("bigint").alias("doc_id"), "text")
+    path = work_dir(spark, "store")
+    ingest(docs, path, MODEL, chunking.chunk_fixed(80))
+    queries = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.substring("text", 1, 40).alias("query")
+    )
+    hits = srch.search(Store(spark, path), queries, MODEL, 3)
+    return _rounded(hits).select("query_id", "rank", "score", "pos", "text")
+
+
 # Store
 
 
@@ -367,14 +403,36 @@ def store_offsets(spark, sf_dir):
     return read_store(spark, _two_appends(spark, sf_dir)).select("pos", "offset")
 
 
+def store_retry(spark, sf_dir):
+    """An append that stopped before its record, tried again, and one after it.
+
+    What it left does not count: no gap, no copy.
+    """
+    path = work_dir(spark, "store")
+    rows = _stored_rows(spark, sf_dir)
+    append_store(rows, path, DIM, ingest_id="first")
+    write_rows(rows, f"{path}/append-stopped")
+    append_store(rows, path, DIM, ingest_id="second")
+    append_store(rows, path, DIM, ingest_id="second")
+    append_store(rows, path, DIM, ingest_id="third")
+    return read_store(spark, path).select("pos", "ingest_id", "doc_id", "text")
+
+
 def store_clear(spark, sf_dir):
+    """Cleared after two appends; one append later the positions start anew."""
     path = _two_appends(spark, sf_dir)
-    before = read_store(spark, path).count()
+    before = read_store(spark, path)
     clear_store(spark, path)
-    after = read_store(spark, path).count()
-    return spark.createDataFrame(
-        [("before", before), ("after", after)], "step string, n_rows bigint"
-    )
+    cleared = read_store(spark, path)
+    append_store(_stored_rows(spark, sf_dir), path, DIM, ingest_id="third")
+    steps = [("before", before), ("cleared", cleared), ("after", read_store(spark, path))]
+    counts = [
+        rows.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.max("offset").alias("last_offset")
+        ).select(F.lit(name).alias("step"), "n_rows", "last_offset")
+        for name, rows in steps
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 def packed_roundtrip(spark, sf_dir):
@@ -384,24 +442,73 @@ def packed_roundtrip(spark, sf_dir):
     return long_form(back, "pos", "embedding")
 
 
+def packed_append(spark, sf_dir):
+    """A store exported, appended to and exported again, with a torn generation left.
+
+    The second generation starts at the last offset of the first.
+    """
+    root = work_dir(spark, "pair")
+    rows = _stored_rows(spark, sf_dir)
+    half = rows.where(F.col("doc_id") % 2 == 0)
+    append_store(half, f"{root}/store", DIM)
+    export_store(spark, f"{root}/store", f"{root}/pair")
+    torn = vectors(spark, sf_dir).select("pos", "embedding")
+    write_packed_vectors(torn, f"{root}/pair/generation-torn", DIM)
+    append_store(rows, f"{root}/store", DIM)
+    export_store(spark, f"{root}/store", f"{root}/pair")
+    pair = read_pair(spark, f"{root}/pair", DIM)
+    start = F.when(F.col("offset") > _first_end(spark, f"{root}/pair"), 2).otherwise(1)
+    elements = pair.select(
+        "pos", "offset", "text", start.alias("generation"),
+        F.posexplode("embedding").alias("dim", "x"),
+    )
+    value = F.round(F.col("x").cast("double"), 6).alias("value")
+    return elements.select("pos", "offset", "text", "generation", "dim", value)
+
+
+def _first_end(spark, path: str) -> int:
+    first = pair_records(spark, path)[0]
+    return first["rows"] * DIM * 4
+
+
 def journal_roundtrip(spark, sf_dir):
-    """Document texts journalled, then attached to the vectors by position."""
+    """Document texts journalled, then attached by position, line by line."""
     path = work_dir(spark, "journal")
     docs = table(spark, sf_dir, "documents")
     offset = (F.col("doc_id") + 1) * (DIM * 4)
     write_journal(docs.select(offset.alias("offset"), "text"), path)
     journal = read_journal(spark, path, DIM)
-    emb = vectors(spark, sf_dir).select("pos")
-    return srch.attach_text(emb, journal, emb.count()).select("pos", "text")
+    wanted = spark.range(docs.count()).select(F.col("id").alias("pos"))
+    return srch.attach_text(wanted, journal).select("pos", "text")
+
+
+def journal_lines(spark, sf_dir):
+    """Line i belongs to vector i: with broken, blank and repeated lines."""
+    path = work_dir(spark, "journal")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    entry = F.to_json(
+        F.struct(
+            F.when(F.col("doc_id") % 3 > 0, F.lit(64)).alias("Offset"),
+            F.col("text").alias("Text"),
+        )
+    )
+    line = (
+        F.when(F.col("doc_id") % 7 == 3, F.lit("{broken"))
+        .when(F.col("doc_id") % 11 == 5, F.lit(""))
+        .otherwise(entry)
+    )
+    lines = docs.select("doc_id", line.alias("line"))
+    ordered = lines.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+    ordered.select("line").write.text(path)
+    return read_journal_lines(spark, path).select("pos", "offset", "text")
 
 
 def store_transfer(spark, sf_dir):
     """A store exported to packed vectors and a journal, and imported again."""
     root = work_dir(spark, "transfer")
     append_store(_stored_rows(spark, sf_dir), f"{root}/store", DIM)
-    store = read_store(spark, f"{root}/store")
-    export_store(store, f"{root}/vectors", f"{root}/journal", DIM)
-    import_store(spark, f"{root}/vectors", f"{root}/journal", f"{root}/copy", DIM)
+    export_store(spark, f"{root}/store", f"{root}/pair")
+    import_pair(spark, f"{root}/pair", f"{root}/copy", DIM)
     copy = read_store(spark, f"{root}/copy").select(
         "pos", "offset", "text", F.posexplode("embedding").alias("dim", "x")
     )
@@ -413,8 +520,8 @@ def store_transfer(spark, sf_dir):
 
 
 def ingest_report(spark, sf_dir):
-    rows = embedded_chunks(table(spark, sf_dir, "documents"), MODEL)
-    per_doc = report.ingest_report(rows, "doc_id")
+    chunks = document_chunks(table(spark, sf_dir, "documents"))
+    per_doc = report.ingest_report(chunks, MODEL.dim, "doc_id")
     return per_doc.select(
         "doc_id",
         "n_chunks",
@@ -424,8 +531,8 @@ def ingest_report(spark, sf_dir):
 
 
 def ingest_lines(spark, sf_dir):
-    rows = embedded_chunks(table(spark, sf_dir, "documents"), MODEL)
-    return rows.select("doc_id", report.chunk_lines().alias("line"))
+    chunks = document_chunks(table(spark, sf_dir, "documents"))
+    return chunks.select("doc_id", report.chunk_lines(MODEL.dim).alias("line"))
 
 
 def search_report(spark, sf_dir):
@@ -462,13 +569,18 @@ def all_queries() -> dict:
         search_topk_padded,
         search_batch,
         search_batch_blocks,
+        search_every_vector,
         semantic_search,
         store_search,
+        file_search,
         store_append,
         store_offsets,
+        store_retry,
         store_clear,
         packed_roundtrip,
+        packed_append,
         journal_roundtrip,
+        journal_lines,
         store_transfer,
         ingest_report,
         ingest_lines,

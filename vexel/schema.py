@@ -25,6 +25,11 @@ STORE = T.StructType(
     ]
 )
 
+#: Columns in the files of a store; the others follow from its commit log.
+STORED = T.StructType([f for f in STORE if f.name not in ("pos", "offset", "ingest_id")])
+
+PAIR = T.StructType([f for f in STORE if f.name in ("pos", "offset", "text", "embedding")])
+
 JOURNAL = T.StructType(
     [
         T.StructField("Offset", T.LongType()),

@@ -20,7 +20,7 @@ def work_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
+    master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder that all executors share"
@@ -37,6 +37,11 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/vexel-{purpose}-{uuid.uuid4().hex}"
 
 
+def range_count(spark: SparkSession, n_bytes: int, least: int = 1) -> int:
+    """Ranges for a sort of ``n_bytes``, so that each is about 128 MB."""
+    return max(least, -(-n_bytes // (128 << 20)))
+
+
 def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-spread a scan that has fewer partitions than the cluster has cores.
 

@@ -1,16 +1,26 @@
-"""Packed float32 vectors: headerless little-endian records of ``dim * 4`` bytes."""
+"""Packed float32 vectors, and beside them, if wanted, a journal of their texts.
+
+A packed file is headerless little-endian records of ``dim * 4`` bytes; record i is the
+vector of position i.  An export is a folder: every task writes the rows it has, a file
+for each run of consecutive positions, and the manifest, written last, puts the files in
+order.  So rows that already lie in order, as a store's do, are written without a
+shuffle, whichever task has them.  A folder without its manifest is not finished and
+cannot be read.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -21,8 +31,10 @@ from pyspark.sql.datasource import (
 
 from vexel import schema
 from vexel.operators.kernels import from_matrix, to_matrix
+from vexel.session import range_count
 
 FORMAT = "packed_vectors"
+MANIFEST = "manifest.json"
 DEFAULT_SPLIT_BYTES = 64 << 20
 _BATCH_BYTES = 4 << 20
 # More data than this many splits gets larger ones: the driver lists them all.
@@ -34,22 +46,6 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
-def _data_files(filesystem: pafs.FileSystem, root: str) -> list[pafs.FileInfo]:
-    """The file itself, or a folder's visible files in name order."""
-    info = filesystem.get_file_info(root)
-    if info.type == pafs.FileType.NotFound:
-        raise FileNotFoundError(root)
-    if info.type == pafs.FileType.File:
-        return [info]
-    found = filesystem.get_file_info(pafs.FileSelector(root))
-    visible = [
-        f
-        for f in found
-        if f.type == pafs.FileType.File and not f.base_name.startswith(("_", "."))
-    ]
-    return sorted(visible, key=lambda f: f.base_name)
-
-
 @dataclass
 class _Range(InputPartition):
     file: str
@@ -64,23 +60,28 @@ class _PackedReader(DataSourceReader):
         self.dim = dim
         self.split_bytes = split_bytes
 
+    def _files(self) -> list[tuple[str, int, int]]:
+        """(path, first position, records) of the file, or of an export's files."""
+        filesystem, root = _open(self.path)
+        info = filesystem.get_file_info(root)
+        if info.type == pafs.FileType.NotFound:
+            raise FileNotFoundError(root)
+        if info.type == pafs.FileType.File:
+            # Only the end of a plain file may be torn; it is dropped.
+            return [(info.path, 0, info.size // schema.record_bytes(self.dim))]
+        runs = read_manifest(self.path, self.dim)
+        return [(f"{root}/{r['vectors']}", r["first"], r["rows"]) for r in runs]
+
     def partitions(self) -> list[InputPartition]:
         width = schema.record_bytes(self.dim)
-        filesystem, root = _open(self.path)
-        files = _data_files(filesystem, root)
-        total = sum(f.size for f in files)
+        files = self._files()
+        total = sum(n for _, _, n in files) * width
         per_split = max(1, max(self.split_bytes, total // _MAX_SPLITS) // width)
-        ranges: list[InputPartition] = []
-        pos = 0
-        for number, file in enumerate(files):
-            records, rest = divmod(file.size, width)
-            # Only the end of the whole data may be torn; it is dropped there.
-            if rest and number < len(files) - 1:
-                raise ValueError(f"{file.path}: not a multiple of {width} bytes")
-            for lo in range(0, records, per_split):
-                n = min(per_split, records - lo)
-                ranges.append(_Range(file.path, lo * width, n, pos + lo))
-            pos += records
+        ranges: list[InputPartition] = [
+            _Range(path, lo * width, min(per_split, records - lo), first + lo)
+            for path, first, records in files
+            for lo in range(0, records, per_split)
+        ]
         return ranges or [_Range("", 0, 0, 0)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
@@ -93,6 +94,8 @@ class _PackedReader(DataSourceReader):
             for lo in range(0, partition.records, step):
                 n = min(step, partition.records - lo)
                 raw = stream.read_at(n * width, partition.first_byte + lo * width)
+                if len(raw) != n * width:
+                    raise ValueError(f"{partition.file} is shorter than its manifest says")
                 yield _packed_batch(raw, partition.first_pos + lo, self.dim)
 
 
@@ -103,47 +106,98 @@ def _packed_batch(raw: bytes, first_pos: int, dim: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pos, vectors], names=["pos", "embedding"])
 
 
+def read_manifest(path: str, dim: int | None = None) -> list[dict]:
+    """The runs of a finished export in order; an unfinished one is an error."""
+    filesystem, root = _open(path)
+    name = f"{root}/{MANIFEST}"
+    if filesystem.get_file_info(name).type == pafs.FileType.NotFound:
+        raise FileNotFoundError(f"{path} is no finished export: it has no {MANIFEST}")
+    with filesystem.open_input_stream(name) as stream:
+        found = json.loads(stream.read())
+    if dim is not None and found["dim"] != dim:
+        raise ValueError(f"{path} holds vectors of length {found['dim']}, not {dim}")
+    return found["runs"]
+
+
 @dataclass
 class _Written(WriterCommitMessage):
-    staged: str
-    name: str
+    runs: list
+
+
+class _Run:
+    """The files of consecutive positions that one task has open."""
+
+    def __init__(self, filesystem, root: str, first: int, journal: bool) -> None:
+        name = f"{first:020d}-{uuid.uuid4().hex}"
+        self.entry = {"first": first, "rows": 0, "vectors": f"vectors-{name}.bin"}
+        self.vectors = filesystem.open_output_stream(f"{root}/{self.entry['vectors']}")
+        self.journal = None
+        if journal:
+            self.entry["journal"] = f"journal-{name}.jsonl"
+            self.journal = filesystem.open_output_stream(f"{root}/{self.entry['journal']}")
+
+    def add(self, vectors: np.ndarray, lines: pa.Array | None) -> None:
+        self.vectors.write(vectors.astype("<f4", copy=False).tobytes())
+        if self.journal is not None and len(lines):
+            ended = pc.binary_join_element_wise(lines, "", "\n")
+            self.journal.write(ended.buffers()[2])
+        self.entry["rows"] += len(vectors)
+
+    def close(self) -> dict:
+        self.vectors.close()
+        if self.journal is not None:
+            self.journal.close()
+        return self.entry
 
 
 class _PackedWriter(DataSourceArrowWriter):
-    """Each task writes a staged file; the driver publishes them all at the end."""
+    """Tasks write runs under names of their own; the driver publishes them at once."""
 
-    def __init__(self, path: str, dim: int) -> None:
-        self.path = path
-        self.dim = dim
-        self.staging = f"_staging-{uuid.uuid4().hex}"
+    def __init__(self, path: str, dim: int, first: int, journal: bool) -> None:
+        self.path, self.dim, self.first, self.journal = path, dim, first, journal
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         filesystem, root = _open(self.path)
-        folder = f"{root}/{self.staging}"
-        filesystem.create_dir(folder, recursive=True)
-        name = f"part-{TaskContext.get().partitionId():07d}.bin"
-        # Attempts of one task write to different files.
-        staged = f"{folder}/{uuid.uuid4().hex}"
-        with filesystem.open_output_stream(staged) as stream:
-            for batch in iterator:
-                values = to_matrix(batch.column("embedding"), self.dim)
-                stream.write(values.astype("<f4", copy=False).tobytes())
-        return _Written(staged, name)
+        runs: list[dict] = []
+        run, following = None, None
+        for batch in iterator:
+            pos = batch.column("pos").to_numpy()
+            vectors = to_matrix(batch.column("embedding"), self.dim)
+            lines = batch.column("line") if self.journal else None
+            cuts = np.flatnonzero(np.diff(pos) != 1) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(pos)], strict=True):
+                if a == b:
+                    continue
+                if run is None or pos[a] != following:
+                    if run is not None:
+                        runs.append(run.close())
+                    run = _Run(filesystem, root, int(pos[a]), self.journal)
+                run.add(vectors[a:b], lines.slice(a, b - a) if self.journal else None)
+                following = int(pos[b - 1]) + 1
+        if run is not None:
+            runs.append(run.close())
+        return _Written(runs)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        runs = [r for m in messages if m is not None for r in m.runs]
+        runs.sort(key=lambda r: r["first"])
+        following = self.first
+        for run in runs:
+            if run["first"] != following:
+                raise ValueError(
+                    f"positions must follow each other from {self.first}: "
+                    f"{run['first']} stands where {following} is due"
+                )
+            following += run["rows"]
         filesystem, root = _open(self.path)
-        for message in messages:
-            if message is not None:
-                filesystem.move(message.staged, f"{root}/{message.name}")
-        self._drop_staging(filesystem, root)
+        with filesystem.open_output_stream(f"{root}/{MANIFEST}") as stream:
+            stream.write(json.dumps({"dim": self.dim, "runs": runs}).encode())
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        self._drop_staging(*_open(self.path))
-
-    def _drop_staging(self, filesystem: pafs.FileSystem, root: str) -> None:
-        folder = f"{root}/{self.staging}"
-        if filesystem.get_file_info(folder).type == pafs.FileType.Directory:
-            filesystem.delete_dir(folder)
+        """Without a manifest there is no export; the files only take space."""
+        filesystem, root = _open(self.path)
+        if filesystem.get_file_info(root).type == pafs.FileType.Directory:
+            filesystem.delete_dir(root)
 
 
 class PackedVectors(DataSource):
@@ -169,7 +223,11 @@ class PackedVectors(DataSource):
         filesystem, root = _open(self.options["path"])
         if filesystem.get_file_info(root).type != pafs.FileType.NotFound:
             raise FileExistsError(root)
-        return _PackedWriter(self.options["path"], self._dim())
+        filesystem.create_dir(root, recursive=True)
+        return _PackedWriter(
+            self.options["path"], self._dim(), int(self.options.get("first", 0)),
+            "line" in schema.names,
+        )
 
 
 def read_packed_vectors(
@@ -179,10 +237,10 @@ def read_packed_vectors(
     *,
     split_bytes: int = DEFAULT_SPLIT_BYTES,
 ) -> DataFrame:
-    """(pos, embedding) of a packed file, or of a folder of ordered part files.
+    """(pos, embedding) of a packed file, or of a finished export.
 
     Splits are whole records, so one large file is read by many tasks.  Trailing
-    bytes that do not fill a record are dropped.
+    bytes of a plain file that do not fill a record are dropped.
     """
     spark.dataSource.register(PackedVectors)
     reader = spark.read.format(FORMAT).option("dim", dim)
@@ -190,16 +248,31 @@ def read_packed_vectors(
 
 
 def write_packed_vectors(
-    rows: DataFrame, path: str, dim: int = schema.DEFAULT_DIM
+    rows: DataFrame,
+    path: str,
+    dim: int = schema.DEFAULT_DIM,
+    *,
+    first: int = 0,
+    in_runs: bool = False,
 ) -> None:
-    """Write ``rows (pos, embedding)`` to a new folder, in ``pos`` order.
+    """Write ``rows (pos, embedding)`` to a new folder; with a ``text``, a journal too.
 
-    The concatenated part files are the packed table.
+    Positions must follow each other from ``first``.  Rows are sorted in ranges sized
+    by their bytes, unless ``in_runs`` says that every task has few runs of positions,
+    as the rows of a store do.
     """
     rows.sparkSession.dataSource.register(PackedVectors)
-    ordered = (
-        rows.select("pos", "embedding")
-        .repartitionByRange("pos")
-        .sortWithinPartitions("pos")
-    )
-    ordered.write.format(FORMAT).mode("append").option("dim", dim).save(path)
+    columns = [F.col("pos").cast("bigint").alias("pos"), "embedding"]
+    if "text" in rows.columns:
+        offset = (F.col("pos") + 1) * schema.record_bytes(dim)
+        entry = F.struct(
+            offset.cast("bigint").alias("Offset"),
+            F.coalesce("text", F.lit("")).alias("Text"),
+        )
+        columns.append(F.to_json(entry).alias("line"))
+    table = rows.select(*columns)
+    if not in_runs:
+        count = range_count(rows.sparkSession, rows.count() * schema.record_bytes(dim))
+        table = table.repartitionByRange(count, "pos").sortWithinPartitions("pos")
+    writer = table.write.format(FORMAT).mode("append").option("dim", dim)
+    writer.option("first", first).save(path)
