@@ -37,6 +37,9 @@ KEPT_HEADERS = (
     "transfer-encoding",
 )
 
+#: Columns of the result beside the payload.
+RESULT = ("record_id", "kind", "date", "url_key", "state", "source_id", "headers")
+
 
 def canonical_url(url: str) -> Column:
     """Host in lower case without port 80 or 443 and www., path without a last slash,
@@ -94,15 +97,18 @@ def resolve_revisits(records: DataFrame, payload: tuple[str, ...] = ()) -> DataF
     """Every record with ``url_key``, ``state``, ``source_id``, ``headers``, payload.
 
     ``payload`` names columns that a resolved revisit takes from its response; pass
-    small ones (a digest, a place in a file) and fetch bodies by ``source_id``.
+    small ones (a digest, a place in a file) and fetch bodies by ``source_id``.  One
+    that is called like a column of the result is returned as ``payload_`` and its name.
     """
+    # Payload columns travel under names of their own, so theirs may be any.
+    held = {p: f"payload_{i}" for i, p in enumerate(payload)}
     clean = records.select(
         "record_id",
         "kind",
         "date",
         F.coalesce(canonical_url("url"), F.lit(None)).alias("url_key"),
         _lower_names(F.col("headers")).alias("headers"),
-        *payload,
+        *(F.col(p).alias(name) for p, name in held.items()),
         F.when(F.col("kind") == "response", 1).otherwise(0).alias("turn"),
     )
     order = ["url_key", "date", "turn", "record_id"]
@@ -113,7 +119,7 @@ def resolve_revisits(records: DataFrame, payload: tuple[str, ...] = ()) -> DataF
     full = F.when(
         F.col("turn") == 1,
         F.struct(
-            F.col("record_id").alias("id"), "date", "headers", *payload
+            F.col("record_id").alias("id"), "date", "headers", *held.values()
         ),
     )
     within = (
@@ -182,8 +188,10 @@ def resolve_revisits(records: DataFrame, payload: tuple[str, ...] = ()) -> DataF
         .otherwise(F.col("headers"))
         .alias("headers"),
         *(
-            F.when(takes, F.col(f"source.{p}")).otherwise(F.col(p)).alias(p)
-            for p in payload
+            F.when(takes, F.col(f"source.{name}"))
+            .otherwise(F.col(name))
+            .alias(f"payload_{p}" if p in RESULT else p)
+            for p, name in held.items()
         ),
     )
 
