@@ -4,13 +4,15 @@ Tokens are tagged B (a secret begins), I (it goes on) or O.  Features are hashed
 token's shape, length, digit share and letters, the words and shapes beside it, and
 file features (the text's size, whether it names credentials, its share of digits).
 The best tag sequence is found by Viterbi.  B and I are possible only inside
-secret-shaped runs: 12 or more of ``[A-Za-z0-9+/_=-]`` with a letter and a digit.  So a
-line without such a run is all O by constraint and needs no decoding; every line of
-every whole text is looked at.
+secret-shaped runs: 12 or more of ``[A-Za-z0-9+/_=-]`` with a letter and a digit.  All
+else is O by constraint and parts the chain there, so only the runs and the tokens that
+their features look at are decoded; every whole text is looked at.
 
 Fit: the patterns' own matches are the labels.  About ``FIT_DOCS`` documents, chosen
-by a hash of the id, give at most ``WINDOWS_PER_DOC`` windows each; both are
-parameters.  One task fits by gradient ascent on the conditional likelihood.
+by a hash of the id, give at most ``WINDOWS_PER_DOC`` windows of at most ``FIT_TOKENS``
+tokens each; these are parameters.  Each window is learned twice, once without its
+surroundings, so that a form the patterns do not know can be told by its looks.  One
+task fits by gradient ascent on the conditional likelihood.
 
 Defined cases: a null text is empty; a text without a match has counts 0, an empty
 span list and the digest of empty text; of two overlapping spans of different kinds
@@ -48,18 +50,30 @@ WINDOWS_PER_DOC = 4
 ROUNDS = 60
 BITS = 14
 DIM = 1 << BITS
-#: Tokens of one training window, and of one decoded line, kept round a run.
-CONTEXT = 24
+#: Tokens before a run that its features look at.
+BEFORE = 3
+#: Places of the features that a token's surroundings give (see ``Window._bins``).
+CONTEXT_FEATURES = [7, 8, 9, 10, 11, 12, 14]
+#: Windows of more tokens are not learned from; they are decoded like all others.
+FIT_TOKENS = 256
 _O, _B, _I = 0, 1, 2
 _NEVER = -1e9
 
-_RUN = re.compile(
-    r"(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{12,}"
-)
+_SIGNS = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+_DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 _NAMES = re.compile(r"pass|secret|token|key|credential|auth", re.IGNORECASE)
 
 
+def runs(text: str, start: int = 0, stop: int | None = None) -> Iterator[tuple[int, int]]:
+    """The secret-shaped runs of a text, in time linear in its length."""
+    stop = len(text) if stop is None else stop
+    for m in _SIGNS.finditer(text, start, stop):
+        found = m.group()
+        if _DIGIT.search(found) and _LETTER.search(found):
+            yield m.start(), m.end()
+
+
 def base_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of the patterns' matches, by start, then kind."""
     found = [
@@ -79,17 +93,17 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 def _shape(token: str) -> str:
     kinds = [
         "d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c
-        for c in token[:32]
+        for c in token
     ]
     return "".join(k for k, before in zip(kinds, ["", *kinds], strict=False) if k != before)
 
 
 def _file_features(text: str) -> list[str]:
-    digits = sum(c.isdigit() for c in text[:4_096])
+    digits = sum(text.count(d) for d in "0123456789")
     return [
         f"f:size{len(text).bit_length()}",
         f"f:names{bool(_NAMES.search(text))}",
-        f"f:digits{digits * 20 // max(1, min(len(text), 4_096))}",
+        f"f:digits{digits * 20 // max(1, len(text))}",
     ]
 
 
@@ -104,9 +118,11 @@ class Window:
         words = [text[a:b] for a, b in self.tokens]
         shapes = [_shape(w) for w in words]
         self.allowed = np.zeros(len(words), bool)
-        runs = [(start + m.start(), start + m.end()) for m in _RUN.finditer(text[start:stop])]
+        shaped = list(runs(text, start, stop))
+        ends = np.array([y for _, y in shaped], np.int64)
         for i, (a, b) in enumerate(self.tokens):
-            self.allowed[i] = any(x <= a and b <= y for x, y in runs)
+            k = int(np.searchsorted(ends, b))
+            self.allowed[i] = k < len(shaped) and shaped[k][0] <= a
         self.features = np.array(
             [self._bins(words, shapes, i, file) for i in range(len(words))], np.int32
         ).reshape(len(words), -1)
@@ -151,21 +167,49 @@ class Window:
 
 
 def windows(text: str) -> Iterator[tuple[int, int]]:
-    """(start, stop) of the parts of lines round secret-shaped runs, disjoint."""
-    last = -1
-    for m in _RUN.finditer(text):
-        if m.start() < last:
-            continue
-        start = max(text.rfind("\n", 0, m.start()) + 1, last, m.start() - 8 * CONTEXT)
-        stop = text.find("\n", m.end())
-        stop = min(len(text) if stop < 0 else stop, m.end() + 4 * CONTEXT)
-        # Not through the middle of another run.
-        while stop < len(text) and re.match(r"[\w+/=-]", text[stop]):
-            stop += 1
-        last = stop
+    """(start, stop) of the parts of lines round secret-shaped runs, disjoint.
+
+    A part has all tokens that a run's features look at: ``BEFORE`` before it and one
+    behind.  What lies between two parts is O by constraint, so it says nothing about
+    the tags on either side, and the parts are decoded as the whole line would be.
+    """
+    start = stop = None
+    before = 0
+    for a, b in runs(text):
+        line = text.rfind("\n", before, a) + 1
+        # Without a line's end in between, no further back than the part before.
+        floor = line or start or 0
+        begin = _tokens_before(text, a, floor)
+        after = _TOKEN.search(text, b)
+        end = text.find("\n", b)
+        end = len(text) if end < 0 else end
+        finish = max(b, min(after.end(), end)) if after else b
+        if start is not None and begin < stop:
+            # They share tokens: one part.
+            stop = max(stop, finish)
+        else:
+            if start is not None:
+                yield start, stop
+            start, stop = begin, finish
+        before = b
+    if start is not None:
         yield start, stop
 
 
+def _tokens_before(text: str, at: int, floor: int) -> int:
+    """Where the ``BEFORE`` tokens before a place begin, but not before ``floor``."""
+    back = 64
+    while True:
+        low = max(floor, at - back)
+        starts = [m.start() for m in _TOKEN.finditer(text, low, at)]
+        if low == floor:
+            return starts[-BEFORE] if len(starts) > BEFORE else floor
+        # The first token may be cut.
+        if len(starts) > BEFORE + 1:
+            return starts[-BEFORE]
+        back *= 2
+
+
 class Crf:
     """Emissions (bins x tags), transitions (tags x tags); I only after B or I."""
 
@@ -275,21 +319,32 @@ def fit_crf(items: list[tuple[Window, np.ndarray]], rounds: int = ROUNDS) -> Crf
     return Crf(emission, transition)
 
 
-def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of the fit documents: text, file features and secret spans."""
+def _training_rows(
+    batches: Iterator[pa.RecordBatch], known: tuple[str, ...]
+) -> Iterator[pa.RecordBatch]:
+    """Windows of the fit documents: text, file features and secret spans.
+
+    A window with a match of a kind that is not ``known`` is left out: it is neither an
+    example nor a counterexample.
+    """
     kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
     for batch in batches:
         rows: list[tuple] = []
         for text in text_column(batch, "text").to_pylist():
             found = base_spans(text)
+            hidden = [(a, b) for a, kind, b in found if kind not in known]
             file = _file_features(text)
             spans = []
             for a, kind, b in found:
+                if kind not in known:
+                    continue
                 if kind == "assign":  # the value, not the name before it
                     a = b - len(_ASSIGN.match(text, a).group(2))
                 spans.append((a, b))
             taken = 0
             for start, stop in windows(text):
+                if any(a < stop and start < b for a, b in hidden):
+                    continue
                 inside = [(a - start, b - start) for a, b in spans if start <= a < stop]
                 flat = [x for span in inside for x in span]
                 rows.append((text[start:stop], file, flat))
@@ -303,19 +358,29 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
+def without_context(window: Window) -> Window:
+    """The window as its tokens alone show it: neighbours, first letters and the
+    file's names are one and the same bin."""
+    copy = object.__new__(Window)
+    copy.tokens, copy.allowed = window.tokens, window.allowed
+    copy.features = window.features.copy()
+    copy.features[:, CONTEXT_FEATURES] = crc32(b"masked") & (DIM - 1)
+    return copy
+
+
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     items = []
     for batch in batches:
         for row in batch.to_pylist():
             window = Window(row["window"], 0, len(row["window"]), row["file"])
+            if len(window.tokens) > FIT_TOKENS:
+                continue
             flat = row["spans"]
             spans = list(zip(flat[::2], flat[1::2], strict=True))
-            keep = slice(0, 4 * CONTEXT)
-            tags = window.tags(spans)[keep]
-            window.tokens = window.tokens[keep]
-            window.features = window.features[keep]
-            window.allowed = window.allowed[keep]
-            items.append((window, tags))
+            tags = window.tags(spans)
+            # Learned with and without its surroundings, so that a secret is known by
+            # its own looks too, wherever it stands.
+            items += [(window, tags), (without_context(window), tags)]
     model = fit_crf(items)
     yield pa.RecordBatch.from_arrays(
         [pa.array([model.emission.tobytes()]), pa.array([model.transition.tobytes()])],
@@ -324,15 +389,21 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", fit_docs: int = FIT_DOCS
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    fit_docs: int = FIT_DOCS,
+    kinds: tuple[str, ...] = KINDS[:3],
 ) -> Crf:
-    """Learn from the patterns' matches in a bounded choice of documents."""
+    """Learn from the patterns' matches of some ``kinds`` in a bounded choice of
+    documents."""
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     share = min(1.0, fit_docs / max(1, rows.count()))
     sample = rows.where(hashed_below("id", F.lit(share))).select("text")
     found = (
         sample.mapInArrow(
-            _training_rows, "window string, file array<string>, spans array<bigint>"
+            lambda batches: _training_rows(batches, kinds),
+            "window string, file array<string>, spans array<bigint>",
         )
         .repartition(1)
         .sortWithinPartitions("window")
