@@ -343,7 +343,8 @@ def _hand_on(chains: list, lcps: list[int], lowest: list[int]) -> list[list]:
     """For each range the chain of all before it.
 
     ``lcps[j]``: lines shared across the border in front of range j; ``lowest[j]``: the
-    least shared within range j.
+    least shared within range j.  Reaches fall strictly along a chain, so beside a range's
+    own end it has no more entries than the longest repeated run has lines.
     """
     out: list[list] = []
     carry: list = []
@@ -355,6 +356,9 @@ def _hand_on(chains: list, lcps: list[int], lowest: list[int]) -> list[list]:
         for p, m in capped:
             m = min(m, lowest[j])
             if m > 0 and (floor is None or p < floor):
+                # Of places with one reach the smallest answers for all.
+                if kept and kept[-1][1] == m:
+                    kept.pop()
                 kept.append((p, m))
                 floor = p
         carry = kept
