@@ -199,13 +199,16 @@ def fit(
         texts, ys, left = [], [], max_words
         for batch in batches:
             part = text_column(batch, "text")
-            sizes = pc.list_value_length(pc.ascii_split_whitespace(part)).to_numpy()
-            fits = int(np.searchsorted(np.cumsum(sizes), left, "right"))
-            left -= int(sizes[:fits].sum())
-            texts.append(part.slice(0, fits))
-            ys.append(batch.column("y").slice(0, fits).to_numpy())
-            if fits < len(part):
-                break
+            sizes = pc.list_value_length(pc.ascii_split_whitespace(part)).to_pylist()
+            taken = []
+            for i, size in enumerate(sizes):
+                # A text that does not fit is passed over, not the end of the sample.
+                if size <= left:
+                    taken.append(i)
+                    left -= size
+            some = pa.array(taken, pa.int64())
+            texts.append(part.take(some))
+            ys.append(batch.column("y").take(some).to_numpy())
         y = np.concatenate(ys) if ys else np.zeros(0)
         if len(np.unique(y)) < 2:
             return
@@ -279,6 +282,22 @@ def score(
     return rows.mapInArrow(run, out)
 
 
+def with_scores(
+    docs: DataFrame, model: Model, name: str, text: str = "text"
+) -> DataFrame:
+    """``docs`` with a column of document scores; only the text goes to Python."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            texts = texts.fill_null("")
+            parts = [shared.value.score(texts.slice(a, b - a))[0] for a, b in steps(texts)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.withColumn(name, run.asNondeterministic()(F.col(text)))
+
+
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
     """Contract rows of op4: fit on the other folds, score every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -293,9 +312,11 @@ def op4_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def toxicity_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that are not rejected, with all their columns."""
+    """Pipeline stage: the documents that are not rejected, with all their columns.
+
+    Null and empty texts score 0 and stay; rows are judged each on its own, whatever
+    their id; without labels of both kinds all stay.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit(docs, labels.where(~held_out("doc_id")))
-    marked = docs.withColumn("__row", F.struct(*docs.columns))
-    scores = score(marked, model, key="__row")
-    return scores.where(F.col("score") < 0.5).select("__row.*")
+    return with_scores(docs, model, "__toxic").where("__toxic < 0.5").select(*docs.columns)
