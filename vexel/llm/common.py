@@ -18,6 +18,8 @@ from vexel.sources import paths
 WHITESPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Input bytes that one numpy step works on; bounds the memory of a task.
 STEP_BYTES = 8 << 20
+#: Folders that this process has written and not swept.
+_staged: list[str] = []
 
 
 def id_text_crc(key: str) -> Column:
@@ -37,11 +39,31 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    _staged.append(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._vexel_path = path
     return back
 
 
+def staged_so_far() -> int:
+    """A mark for :func:`sweep`."""
+    return len(_staged)
+
+
+def sweep(spark: SparkSession, mark: int, keep: DataFrame) -> None:
+    """Delete what :func:`stage` wrote since the mark, but for ``keep``.
+
+    To be called when ``keep`` is written: until then it may need the rest.
+    """
+    kept = getattr(keep, "_vexel_path", None)
+    for path in _staged[mark:]:
+        if path != kept:
+            paths.delete(spark, path)
+    del _staged[mark:]
+    if kept:
+        _staged.append(kept)
+
+
 def drop_stage(*frames: DataFrame | None) -> None:
     """Delete what :func:`stage` wrote, once nothing needs it any more."""
     for frame in frames:
