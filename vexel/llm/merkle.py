@@ -418,3 +418,79 @@ def op12_merkle_manifest(spark, sf_dir: str) -> DataFrame:
     return verify(shown, groups, above).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
     )
+
+
+OP12_SQL = r"""
+WITH RECURSIVE bytes AS (
+  SELECT range AS b FROM range(256)
+), crc_table AS (
+  SELECT b, list_reduce([b::BIGINT] || list_transform(range(8), lambda i: 0::BIGINT),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM bytes
+), crc_list AS (
+  SELECT list(v ORDER BY b) AS t FROM crc_table
+), fields AS (
+  SELECT doc_id, lang, n_chars,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(list_reduce([4294967295] || list_transform(
+        list_filter(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: c <> ''), lambda c: ord(c)::BIGINT),
+      lambda c, d: xor(c >> 8, t[(xor(c, d) & 255) + 1])), 4294967295) % 7 = 0 AS bad
+  FROM documents, crc_list
+), hashed AS (
+  SELECT doc_id, lang,
+    sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail)
+      AS leaf,
+    CASE WHEN bad THEN sha256(head
+      || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail)
+    END AS changed
+  FROM fields
+), leaves AS (
+  SELECT *, coalesce('=' || lang, '') AS tree, row_number() OVER (
+    PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM hashed
+), nodes AS (
+  SELECT tree, 0 AS lvl, pos, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+  UNION ALL
+  SELECT tree, any_value(lvl) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)),
+    (any_value(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY tree, pos // 2
+), subroots AS (
+  SELECT tree, h AS subroot, max(lvl) OVER () AS top,
+    row_number() OVER (ORDER BY encode(tree)) - 1 AS place
+  FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS lvl, place AS pos, subroot AS h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT any_value(lvl) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)),
+    (any_value(n) + 1) // 2
+  FROM upper WHERE n > 1 GROUP BY pos // 2
+), folds AS (
+  SELECT tree, pos AS leaf_pos, 0 AS lvl, pos, count(*) OVER (PARTITION BY tree) AS n,
+    coalesce(changed, leaf) AS h, '' AS proof
+  FROM leaves
+  UNION ALL
+  SELECT f.tree, f.leaf_pos, f.lvl + 1, f.pos // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN f.pos % 2 = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END),
+    f.proof || coalesce(s.h, '')
+  FROM folds f LEFT JOIN nodes s
+    ON s.tree = f.tree AND s.lvl = f.lvl AND s.pos = xor(f.pos, 1)
+  WHERE f.n > 1
+), climbs AS (
+  SELECT tree, leaf_pos, 0 AS lvl, place AS pos, (SELECT count(*) FROM subroots) AS n,
+    h, proof
+  FROM folds JOIN subroots USING (tree) WHERE n = 1
+  UNION ALL
+  SELECT c.tree, c.leaf_pos, c.lvl + 1, c.pos // 2, (c.n + 1) // 2,
+    sha256(CASE WHEN c.pos % 2 = 1 THEN s.h || c.h ELSE c.h || coalesce(s.h, '') END),
+    c.proof || coalesce(s.h, '')
+  FROM climbs c LEFT JOIN upper s ON s.lvl = c.lvl AND s.pos = xor(c.pos, 1)
+  WHERE c.n > 1
+)
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256,
+  c.h AS folded_root, c.h = root.h AS verified
+FROM leaves l JOIN climbs c ON c.tree = l.tree AND c.leaf_pos = l.pos AND c.n = 1
+JOIN subroots r ON r.tree = l.tree, (SELECT h FROM upper WHERE n = 1) root
+"""

@@ -297,3 +297,29 @@ def op1_packing(spark, sf_dir: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+#: Limits of the instruction example: a sequence is full of answers before it is full
+#: of tokens.
+INSTRUCTION = Limits(tokens=1_024, segments=32, loss_tokens=256)
+
+
+def conversation_packing(spark, sf_dir: str) -> DataFrame:
+    """Turns packed as instruction data: only what the assistant says bears loss.
+
+    A turn is an item of its own, so a conversation of any length is never collected.
+    """
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    answer = F.col("role") == "assistant"
+    items = turns.select(
+        F.struct("conv_id", "turn").alias("item"),
+        F.when(answer, "").otherwise(F.col("text")).alias("asked"),
+        F.when(answer, F.col("text")).otherwise("").alias("answered"),
+    )
+    return pack_texts(
+        items, vocabulary_path(), limits=INSTRUCTION, key="item", text="answered",
+        prompt="asked",
+    ).select(
+        "item.conv_id", "item.turn", "start", "length", "doc_tokens", "sequence_id",
+        "offset", F.crc32("ids").alias("ids_crc32"),
+    )

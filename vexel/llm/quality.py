@@ -237,12 +237,18 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablation(spark, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy does to the documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return ablation(ledger(docs))
+
+
 _SQL_RULES = " + ".join(
     f"(CASE WHEN {rule.fails} THEN {1 << bit} ELSE 0 END)"
     for bit, rule in enumerate(RULES)
 )
 
-OP8_SQL = rf"""
+_SQL_LEDGER = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
@@ -272,7 +278,27 @@ WITH w AS (
     coalesce(k, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN r USING (doc_id)
 ), f AS (SELECT *, ({_SQL_RULES})::BIGINT AS failed FROM m)
+"""
+
+OP8_SQL = rf"""{_SQL_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   failed & {BASE_RULES} <> 0 AS base_failed, failed = 0 AS kept, failed
 FROM f
 """
+
+_SQL_NAMES = ", ".join(
+    f"('{rule.name}', {1 << bit}::BIGINT)"
+    for bit, rule in enumerate(RULES)
+    if POLICIES["v2"] >> bit & 1
+)
+
+ABLATION_SQL = rf"""{_SQL_LEDGER}, hits AS (
+  SELECT rule, bit, failed & {POLICIES["v2"]} AS hit
+  FROM f, (VALUES {_SQL_NAMES}) r(rule, bit)
+)
+SELECT rule, count_if(hit & bit <> 0)::BIGINT AS n_failed,
+  count_if(hit = bit)::BIGINT AS only_this,
+  coalesce(bit_or(CASE WHEN hit & bit <> 0 THEN hit END), 0)::BIGINT AS any_failed,
+  coalesce(bit_and(CASE WHEN hit & bit <> 0 THEN hit END), 0)::BIGINT AS all_failed
+FROM hits GROUP BY rule
+"""

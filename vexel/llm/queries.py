@@ -10,10 +10,10 @@ from vexel.llm.align import op11_token_alignment
 from vexel.llm.decontaminate import op5_decontamination
 from vexel.llm.langid import op9_language_id
 from vexel.llm.line_dedup import op2_line_dedup
-from vexel.llm.merkle import op12_merkle_manifest
-from vexel.llm.ngram_join import op13_ngram_join
-from vexel.llm.packing import op1_packing
-from vexel.llm.quality import OP8_SQL, op8_quality_rules
+from vexel.llm.merkle import OP12_SQL, op12_merkle_manifest
+from vexel.llm.ngram_join import OP13_SQL, op13_ngram_join
+from vexel.llm.packing import conversation_packing, op1_packing
+from vexel.llm.quality import ABLATION_SQL, OP8_SQL, op8_quality_rules, quality_ablation
 from vexel.llm.secret_scan import op7_secret_scan
 from vexel.llm.simhash import op3_simhash
 from vexel.llm.token_codes import op10_token_codes
@@ -34,9 +34,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_token_alignment": op11_token_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_ngram_join": op13_ngram_join,
+    "quality_ablation": quality_ablation,
+    "conversation_packing": conversation_packing,
 }
 
 ORACLES: dict[str, str] = {
     "op6_warc_revisits": OP6_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_ngram_join": OP13_SQL,
+    "quality_ablation": ABLATION_SQL,
 }
