@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.brute_lines import brute
-from vexel.llm import decontaminate, langid, packing, quality, secret_scan
+from vexel.llm import decontaminate, langid, line_dedup, packing, quality, secret_scan
 from vexel.llm import simhash, token_codes, toxicity, warc
 from vexel.llm.components import connected_components
 from vexel.llm.line_dedup import dedup_lines
@@ -79,6 +79,28 @@ def test_packer_keeps_every_limit():
     assert all(sorted(seen[i]) == list(range(n)) for i, (n, _) in enumerate(items))
 
 
+def test_turns_are_packed_under_the_loss_limit(spark, sf_dir, library):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()
+    ids = {(r["conv_id"], r["turn"]): library(r["text"]) for r in turns}
+    answers = {(r["conv_id"], r["turn"]) for r in turns if r["role"] == "assistant"}
+    limits, sequences, seen = packing.INSTRUCTION, {}, {}
+    for r in packing.conversation_packing(spark, sf_dir).collect():
+        key = (r["conv_id"], r["turn"])
+        whole = np.array([*ids[key], packing.END_ID], "<u4")
+        part = whole[r["start"] : r["start"] + r["length"]]
+        assert r["doc_tokens"] == len(whole) and r["ids_crc32"] == zlib.crc32(part.tobytes())
+        # The end id bears loss, also behind a question.
+        loss = r["length"] if key in answers else int(r["start"] + r["length"] == len(whole))
+        sequences.setdefault(r["sequence_id"], []).append((r["length"], loss))
+        seen[key] = seen.get(key, 0) + r["length"]
+    assert seen == {k: len(v) + 1 for k, v in ids.items()}
+    sums = [tuple(map(sum, zip(*pieces, strict=True))) for pieces in sequences.values()]
+    assert all(n <= limits.tokens and loss <= limits.loss_tokens for n, loss in sums)
+    assert all(len(pieces) <= limits.segments for pieces in sequences.values())
+    # It binds: many are full of answers with room for tokens left.
+    assert sum(loss == limits.loss_tokens and n < limits.tokens for n, loss in sums) > 5
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_line_dedup_is_brute_force(spark, seed):
     g = random.Random(seed)
@@ -94,6 +116,25 @@ def test_line_dedup_is_brute_force(spark, seed):
     assert got == brute(rows, 9)
 
 
+@pytest.mark.parametrize("longest", [1, 5])
+def test_chains_are_no_longer_than_the_longest_run(longest):
+    """1,000 ranges of the suffix array; answers as from one scan over all."""
+    g = random.Random(longest)
+    places = g.sample(range(100_000), 5_000)
+    lcp = [0] + [g.randint(1, longest) for _ in places[1:]]
+    parts = [line_dedup._Range([0] * 5, places[a : a + 5], lcp[a : a + 5]) for a in range(0, 5_000, 5)]
+    chains = [p.chains() for p in parts]
+    firsts, lowest = [p.lcp[0] for p in parts], [min(p.lcp[1:]) for p in parts]
+    nexts = [*firsts[1:], 0]
+    before = line_dedup._hand_on([c[0] for c in chains], firsts, lowest)
+    behind = line_dedup._hand_on([c[1] for c in chains][::-1], nexts[::-1], lowest[::-1])[::-1]
+    # One entry per reach, and the range's own end.
+    assert max(map(len, before + behind)) <= longest + 1
+    got = [v for j, p in enumerate(parts) for v in p.earlier(before[j], behind[j], nexts[j])]
+    whole = line_dedup._Range([0] * 5_000, places, lcp)
+    assert got == whole.earlier([], [], 0)
+
+
 def test_line_dedup_odd_cases(odd, none):
     rows = dedup_lines(odd).select(*odd.columns).collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in rows if r["doc_id"] != 5) == sorted(
@@ -320,6 +361,298 @@ def test_token_codes_round_trip(spark, odd, none, library, tmp_path):
     assert token_codes.read_token_codes(spark, empty).count() == 0
 
 
+LABELS = "doc_id bigint, toxic int, quality int"
+CONTRACTS = {
+    "op1_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, "
+    "doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op3_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op4_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op7_secret_scan": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, "
+    "base_sha256 string, spans string",
+    "op8_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, "
+    "n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, "
+    "kept boolean",
+    "op9_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op10_token_codes": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+}
+
+
+@pytest.mark.parametrize("name", CONTRACTS)
+def test_contract_columns(spark, sf_dir, name):
+    from vexel.llm.queries import QUERIES
+
+    found = QUERIES[name](spark, sf_dir)
+    kinds = dict(found.dtypes)
+    want = dict(part.split() for part in CONTRACTS[name].split(", "))
+    assert {c: kinds[c] for c in want} == want
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = found.collect()
+    assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    if "held_out" in want:
+        for r in rows:
+            assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+            assert 0 <= r["score"] <= 1
+            assert name != "op4_toxicity" or r["predicted"] == int(r["score"] >= 0.5)
+    if name == "op9_language_id":  # learned on the other folds
+        truth = {r["doc_id"]: r["lang"] for r in docs.collect() if r["lang"]}
+        asked = [r for r in rows if r["held_out"] and truth.get(r["doc_id"])]
+        assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in asked) >= 0.95 * len(asked)
+
+
+def test_long_texts_do_not_end_the_toxicity_sample(spark):
+    rows = [(i, "kind words " * 30 + ("vilething" if i % 2 else "")) for i in range(60)]
+    rows.append((100, "long " * 5_000))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], LABELS)
+    model = toxicity.fit(docs, labels, max_words=4_500)
+    assert np.isfinite(model.bias)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert min(got[i] for i in range(1, 60, 2)) > max(got[i] for i in range(0, 60, 2))
+
+
+def test_toxicity_gradient_is_that_of_the_likelihood():
+    """One step of the fit against numeric derivatives of the noisy-or likelihood."""
+    texts = pa.array(["bad words here. fine words", "fine. fine words", "bad. bad", "words"])
+    y, weight = np.array([1.0, 0.0, 1.0, 0.0]), np.array([1.0, 2.0, 1.0, 1.0])
+
+    def loss(model):
+        score = np.clip(model.score(texts)[0], 1e-12, 1 - 1e-12)
+        each = -(y * np.log(score) + (1 - y) * np.log1p(-score))
+        return (weight * each).sum() / weight.sum()
+
+    losses = [loss(toxicity._fit(texts, y, weight, rounds)) for rounds in (1, 10, 60)]
+    assert losses[0] > losses[1] > losses[2]
+    model = toxicity._fit(texts, y, weight, 200)
+    bias, step = model.bias, 1e-5
+    around = []
+    for b in (bias - step, bias + step):
+        model.bias = b
+        around.append(loss(model))
+    # At the end the likelihood is nearly flat in the bias.
+    assert abs(around[1] - around[0]) / (2 * step) < 0.05
+    whole, parts, bags = model.score(texts)
+    for k in range(4):
+        p = parts[bags.sentence_at[k] : bags.sentence_at[k + 1]]
+        assert whole[k] == pytest.approx(1 - np.prod(1 - p))
+
+
+def test_language_scores_are_naive_bayes(spark):
+    """Log scores against sums over the n-grams of each text, one at a time."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(
+        [("Der Hund läuft", "de"), ("über die Brücke", "de"), ("the dog runs", "en"),
+         ("привет мир", "ru"), ("мир", "ru"), ("добрый день", "ru")])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs)
+
+    def bins(text):
+        text = text.lower()
+        found = []
+        for n in langid.ORDERS:
+            for i in range(len(text) - n + 1):
+                mixed = 0
+                for c in text[i : i + n]:
+                    mixed = (mixed * 0x100000001B3 + ord(c)) % 2**64
+                mixed = (mixed + n) * 0x9E3779B97F4A7C15 % 2**64
+                found.append(mixed >> (64 - langid.BITS))
+        return found
+
+    asked = ["die Hunde", "мир dog", "", "x" * 5]
+    got = model.log_scores(asked)
+    for j, lang in enumerate(model.languages):
+        counts = np.zeros(langid.DIM)
+        mine = [t for _, t, x in rows if x == lang]
+        for t in mine:
+            np.add.at(counts, bins(t), 1)
+        table = np.log((counts + langid.SMOOTHING) / (counts + langid.SMOOTHING).sum())
+        for i, text in enumerate(asked):
+            want = np.log(len(mine) / len(rows)) + sum(table[b] for b in bins(text))
+            assert got[i, j] == pytest.approx(want)
+    odd = ["½ ²", "①", "ⅷ", "12 _", "", "ʰ", "中"]
+    names, scores = model.score(odd)
+    assert names[:5] == ["und"] * 5 and not scores[:5].any()
+    assert "und" not in names[5:]
+
+
+def test_secret_runs_take_linear_time():
+    import time
+
+    for text in ("a" * 1_000_000, "7" * 1_000_000, "a1" * 500_000, "a1b2c3d4e5f6 " * 80_000):
+        started = time.perf_counter()
+        spans = secret_scan.scan_text(text, secret_scan.fit_crf([]))
+        assert time.perf_counter() - started < 60 and isinstance(spans, list)
+
+
+def test_secret_windows_hold_all_runs_once():
+    g = random.Random(3)
+    for _ in range(200):
+        text = "".join(
+            g.choice(["a1b2c3d4e5f6", " ", "\n", "word", ".", "=", "x9" * 9, "tok "]) for _ in range(30)
+        )
+        parts = list(secret_scan.windows(text))
+        assert all(a <= b for a, b in parts)
+        assert all(b <= c for (_, b), (c, _) in zip(parts, parts[1:], strict=False))
+        for x, y in secret_scan.runs(text):
+            assert sum(a <= x and y <= b for a, b in parts) == 1
+
+
+def test_viterbi_is_the_best_of_all_sequences():
+    from itertools import product
+
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        window = secret_scan.Window("ab12cd34ef56gh = x1y2z3x1y2z3.q", 0, 31, ["f"])
+        n = len(window.tokens)
+        crf = secret_scan.Crf(rng.normal(size=(secret_scan.DIM, 3)), rng.normal(size=(3, 3)))
+        crf.transition[0, 2] = -1e9
+        score = crf.emission[window.features].sum(axis=1)
+        best, spans = -np.inf, None
+        for tags in product(range(3), repeat=n):
+            if any(t and not ok for t, ok in zip(tags, window.allowed, strict=True)):
+                continue
+            if any(t == 2 and (not i or tags[i - 1] == 0) for i, t in enumerate(tags)):
+                continue
+            total = sum(score[i, t] for i, t in enumerate(tags))
+            total += sum(crf.transition[a, b] for a, b in zip(tags, tags[1:], strict=False))
+            if total > best:
+                best, spans = total, []
+                for (a, b), t in zip(window.tokens, tags, strict=True):
+                    if t == 1:
+                        spans.append((a, b))
+                    elif t == 2:
+                        spans[-1] = (spans[-1][0], b)
+        assert crf.decode(window) == spans
+
+
+def test_a_hidden_kind_of_secret_is_found(spark):
+    """Hex secrets are kept out of the labels; the model knows the others' looks."""
+    g = random.Random(11)
+
+    def value(signs, size):
+        while True:
+            made = "".join(g.choice(signs) for _ in range(size))
+            if any(c.isdigit() for c in made) and any(c.isalpha() for c in made):
+                return made
+
+    hexes, mixed = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz0123456789"
+    words = ["release", "version", "page", "chapter", "figure", "section"]
+    rows = []
+    for i in range(500):
+        kind = i % 4
+        if kind == 0:
+            text = f"set password = {value(mixed, 24)} now"
+        elif kind == 1:
+            text = f"the key AKIA{value(mixed.upper(), 18)} was used"
+        elif kind == 2:
+            text = f"digest {value(hexes, 32)} stands here"
+        else:
+            text = f"see {g.choice(words)}-{g.randint(1, 99)}-of-{g.choice(words)} below"
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = secret_scan.fit(docs, kinds=("assign", "access"))
+    found = wrong = 0
+    for i, text in rows:
+        for start, stop in secret_scan.windows(text):
+            window = secret_scan.Window(text, start, stop, secret_scan._file_features(text))
+            spans = model.decode(window)
+            if i % 4 == 2:
+                (a, b), = [(a, b) for a, k, b in secret_scan.base_spans(text) if k == "hex"]
+                found += any(x <= a and b <= y for x, y in spans)
+            elif i % 4 == 3:
+                wrong += bool(spans)
+    assert found >= 0.9 * 125 and wrong <= 0.05 * 125
+
+
+def test_short_items_match_whole(spark):
+    items = spark.createDataFrame(
+        [(1, "Who wrote Hamlet?"), (2, "one"), (3, " "), (4, None)], "item_id bigint, text string"
+    )
+    rows = [(1, "they ask: who wrote hamlet, then"), (2, "who wrote a hamlet"), (3, "One."),
+            (4, "wrote hamlet who"), (5, None), (6, "who wrote"), (6, "x " * 200 + "who wrote hamlet")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r["doc_id"], r["items"]) for r in decontaminate.find_leaks(docs, items).collect())
+    assert got == [(1, [1]), (2, []), (3, [2]), (4, []), (5, []), (6, []), (6, [1])]
+
+
+@pytest.mark.parametrize("name", ["range", "state", "turn", "own", "before", "source", "id", "payload_0"])
+def test_payload_columns_may_have_any_name(spark, name):
+    rows = [(1, "response", "http://a.org/", 1, None, "p"), (2, "revisit", "http://a.org/", 2, None, None)]
+    table = spark.createDataFrame(
+        rows, f"record_id int, kind string, url string, date int, headers map<string,string>, {name} string"
+    )
+    column = f"payload_{name}" if name in warc.RESULT else name
+    got = {r["record_id"]: r[column] for r in warc.resolve_revisits(table, (name,)).collect()}
+    assert got == {1: "p", 2: "p"}
+
+
+def test_segments_follow_the_number_of_fingerprints():
+    assert [simhash.best_segments(n) for n in (10, 200_000, 10**9)] == [5, 3, 2]
+
+
+@pytest.mark.parametrize("segments", [2, 3, 4, 5])
+def test_any_number_of_segments_finds_all_links(spark, segments):
+    g = random.Random(segments)
+    fps = [g.getrandbits(64) for _ in range(40)]
+    for base in list(fps):
+        for flips in range(1, 6):
+            fps.append(base ^ sum(1 << b for b in g.sample(range(64), flips)))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    nodes = spark.createDataFrame([(f, f) for f in signed], "fp bigint, g bigint")
+    got = {(r["u"], r["v"]) for r in simhash.near_links(nodes, segments).collect()}
+    want = {
+        (min(a, b), max(a, b)) for i, a in enumerate(signed) for b in signed[:i]
+        if ((a ^ b) & (2**64 - 1)).bit_count() <= 4
+    }
+    assert got == want
+
+
+def test_simhash_stage_tells_rows_apart(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, 1), (5, text, 2), (5, "quite other words stand in this row here", 3),
+            (9, "a b c d e", 4), (None, "a b c d e", 5), (None, "only without an id", 6), (1, text, 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __row int")
+    docs = docs.withColumnRenamed("__row", "fp")
+    kept = simhash.simhash_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    # Of the two rows with id 1 and the same text either may stay.
+    found = sorted(r["fp"] for r in kept.collect())
+    assert found in ([1, 3, 4, 6], [3, 4, 6, 7])
+
+
+ODD_COLUMNS = (
+    "doc_id bigint, text string, lang string, source string, n_chars int, id string, "
+    "fp string, items string, score double, m map<string,int>"
+)
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_take_odd_tables(spark, sf_dir, number):
+    import corpus_pipeline
+
+    name, function = corpus_pipeline.STAGES[number]
+    long = "word after word of a very long text. " * 30_000
+    rows = [(i, t, "en", None, 1, "x", "y", "z", 0.5, {"k": 1})
+            for i, t in [*ODD, (8, long), (9, "x" * 500_000)]]
+    docs = spark.createDataFrame(rows, ODD_COLUMNS)
+    found = function(spark, docs, sf_dir)
+    assert found.columns == docs.columns
+    kept = {r["doc_id"] for r in found.select("doc_id").collect()}
+    # Of copies and empty texts one stays; nothing else goes.
+    assert kept >= ({3, 5, 6, 8, 9} if name == "simhash_dedup" else {1, 2, 3, 5, 6, 8, 9})
+    none = function(spark, docs.where("false"), sf_dir)
+    assert none.columns == docs.columns and none.count() == 0
+
+
+def test_pipeline_on_an_empty_table(spark, sf_dir, tmp_path):
+    import corpus_pipeline
+
+    for name in ("documents", "labels", "benchmark"):
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name == "documents":
+            table = table.where("false")
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_keeps_clean_documents(spark, sf_dir):
     import corpus_pipeline
 
