@@ -32,7 +32,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -41,7 +41,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vexel.llm.common import drop_stage, stage, steps, text_column, value_offsets
+from vexel.llm.common import (
+    drop_stage,
+    segment_sums,
+    stage,
+    steps,
+    text_column,
+    value_offsets,
+)
 
 #: Bytes of a range; texts of more are spread over tasks.
 CHUNK_BYTES = 1 << 18
@@ -185,6 +192,16 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _aligners[key]
 
 
+_caches: dict[tuple[str, str], PieceCache] = {}
+
+
+def cache_of(path_a: str, path_b: str) -> PieceCache:
+    key = (path_a, path_b)
+    if key not in _caches:
+        _caches[key] = PieceCache(aligner(path_a, path_b))
+    return _caches[key]
+
+
 def _common(ends_a: np.ndarray, ends_b: np.ndarray, first: int, stop: int):
     """Which tokens of each side end where one of the other side ends."""
     mark = np.zeros(stop - first + 1, np.uint8)
@@ -351,6 +368,130 @@ def fragments_of(both: Aligner, piece: str, first: int, chunk: int):
         )
 
 
+# --- short texts ----------------------------------------------------------------
+
+
+class Aligned:
+    """Alignments of several byte strings, one after the other."""
+
+    def __init__(self, ok, n_a, n_b, n_groups, text, text_at, links) -> None:
+        self.ok, self.n_a, self.n_b, self.n_groups = ok, n_a, n_b, n_groups
+        #: Text of the groups, each with its ``;``, and where each string's starts.
+        self.text, self.text_at = text, text_at
+        #: Linked pairs in order; string i has ``n_groups[i]``.
+        self.links = links
+
+
+def align_strings(both: Aligner, spaced: pa.Array) -> Aligned:
+    """Alignments of strings that begin with their space."""
+    at = value_offsets(spaced)
+    raw = np.frombuffer(spaced.buffers()[2], np.uint8)[at[0] : at[-1]]
+    words = spaced.to_pylist()
+    (a, at_a), (b, at_b) = both.a.flat(words), both.b.flat(words)
+    sizes = np.diff(at)
+    fine = sizes > 1
+    for side, ids, starts in ((both.a, a, at_a), (both.b, b, at_b)):
+        sums = np.concatenate([[0], np.cumsum(side.sizes[ids])])[starts]
+        fine &= np.diff(sums) == sizes
+    keep_a, keep_b = np.repeat(fine, np.diff(at_a)), np.repeat(fine, np.diff(at_b))
+    a, b = a[keep_a], b[keep_b]
+    mine = raw[np.repeat(fine, sizes)]
+    same = (both.a.joined(a) == mine) & (both.b.joined(b) == mine)
+    if not same.all():  # as long as the string, but not its bytes
+        docs = np.flatnonzero(fine)
+        ends = np.cumsum(sizes[docs])
+        bad = np.unique(np.searchsorted(ends, np.flatnonzero(~same), "right"))
+        out = np.isin(np.arange(len(docs)), bad)
+        a = a[~np.repeat(out, np.diff(at_a)[docs])]
+        b = b[~np.repeat(out, np.diff(at_b)[docs])]
+        fine[docs[bad]] = False
+    stops = np.cumsum(sizes * fine)
+    ends_a, ends_b = np.cumsum(both.a.sizes[a]), np.cumsum(both.b.sizes[b])
+    last_a, last_b = _common(ends_a, ends_b, 0, int(stops[-1]))
+    text, group_ends = both.write(a, last_a, b, last_b)
+    through = np.searchsorted(ends_a[last_a], stops, "right")
+    cuts = np.concatenate([[0], group_ends])[np.concatenate([[0], through])]
+    return Aligned(
+        fine, np.diff(at_a) * fine, np.diff(at_b) * fine, np.diff(through, prepend=0),
+        np.frombuffer(text, np.uint8), cuts, a[last_a] << 32 | b[last_b],
+    )
+
+
+def _cuts(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of strings start (with the end), and each string's first piece.
+
+    A piece starts at a space between two characters that are surely not white space:
+    ASCII signs, or others that no Unicode space begins or ends like.
+    """
+    n = len(raw)
+    back = [np.concatenate([np.zeros(k, np.uint8), raw])[:n] for k in (1, 2, 3)]
+    ahead = np.concatenate([raw[1:], np.zeros(1, np.uint8)])
+    space_lead = np.array([0xE1, 0xE2, 0xE3], np.uint8)
+    before = ((back[0] > 0x20) & (back[0] < 0x7F)) | (
+        (back[0] >= 0x80) & (back[1] != 0xC2) & ~np.isin(back[2], space_lead)
+    )
+    after = ((ahead > 0x20) & (ahead < 0x7F)) | (
+        (ahead >= 0x80) & (ahead != 0xC2) & ~np.isin(ahead, space_lead)
+    )
+    start = (raw == 0x20) & before & after
+    # A string's own start, whatever stands there; and none just before its end.
+    start[at[1:-1][at[1:-1] < n] - 1] = False
+    start[at[:-1][np.diff(at) > 0]] = True
+    starts = np.flatnonzero(start)
+    return np.append(starts, n), np.searchsorted(starts, at)
+
+
+#: Pieces whose alignment a worker keeps (about 120 MB); beyond it all are made anew.
+CACHE_PIECES = 500_000
+
+
+class PieceCache:
+    """Alignments of the pieces between safe spaces, each made once.
+
+    Such a piece is a fragment without open ends, so a text is its pieces' groups in
+    order.  Words repeat, so most pieces were seen before.
+    """
+
+    def __init__(self, both: Aligner) -> None:
+        self.both = both
+        self._reset()
+
+    def _reset(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.parts: list[Aligned] = []
+        self.whole: Aligned | None = None
+
+    def slots(self, pieces: pa.Array) -> np.ndarray:
+        """The place of each of some distinct pieces in ``whole``."""
+        if len(self.slot) > CACHE_PIECES:
+            self._reset()
+        names = pieces.to_pylist()
+        known = np.fromiter(map(self.slot.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            found = align_strings(self.both, pieces.take(pa.array(new)))
+            first = len(self.slot)
+            known[new] = np.arange(first, first + len(new))
+            self.slot.update(zip((names[i] for i in new), range(first, first + len(new)), strict=True))
+            self.whole = found if self.whole is None else _joined(self.whole, found)
+        return known
+
+
+def _joined(one: Aligned, two: Aligned) -> Aligned:
+    both = [np.concatenate(pair) for pair in (
+        (one.ok, two.ok), (one.n_a, two.n_a), (one.n_b, two.n_b),
+        (one.n_groups, two.n_groups), (one.text, two.text),
+        (one.text_at, one.text_at[-1] + two.text_at[1:]), (one.links, two.links),
+    )]
+    return Aligned(*both)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges [start, start + size), one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 # --- jobs -----------------------------------------------------------------------
 
 _ALIGNED = (
@@ -360,43 +501,37 @@ _ALIGNED = (
 
 
 def _short_texts(rows: DataFrame, kind: str, paths: tuple[str, str]) -> DataFrame:
-    """Texts of one range: fragment and whole text in one."""
+    """Texts of one range: pieces, fragments and whole text in one."""
 
     def align(texts: pa.Array):
-        both = aligner(*paths)
+        cache = cache_of(*paths)
         spaced = pc.binary_join_element_wise(" ", texts, "")
         at = value_offsets(spaced)
-        raw = np.frombuffer(spaced.buffers()[2], np.uint8)
-        words = spaced.to_pylist()
-        (a, at_a), (b, at_b) = both.a.flat(words), both.b.flat(words)
-        size_a = np.add.reduceat(np.append(both.a.sizes[a], 0), at_a[:-1]) * (np.diff(at_a) > 0)
-        size_b = np.add.reduceat(np.append(both.b.sizes[b], 0), at_b[:-1]) * (np.diff(at_b) > 0)
-        sizes = np.diff(at)
-        fine = (sizes > 1) & (size_a == sizes) & (size_b == sizes)
-        keep_a, keep_b = np.repeat(fine, np.diff(at_a)), np.repeat(fine, np.diff(at_b))
-        a, b = a[keep_a], b[keep_b]
-        mine = raw[at[0] :][np.repeat(fine, sizes)]
-        same = (both.a.joined(a) == mine) & (both.b.joined(b) == mine)
-        if not same.all():  # as long as the text, but not its bytes
-            wrong = np.flatnonzero(~same)
-            docs = np.flatnonzero(fine)
-            ends = np.cumsum(sizes[docs])
-            bad = np.unique(np.searchsorted(ends, wrong, "right"))
-            out_a = np.repeat(np.isin(np.arange(len(docs)), bad), np.diff(at_a)[docs])
-            out_b = np.repeat(np.isin(np.arange(len(docs)), bad), np.diff(at_b)[docs])
-            a, b = a[~out_a], b[~out_b]
-            fine[docs[bad]] = False
-        n_a, n_b = np.diff(at_a) * fine, np.diff(at_b) * fine
-        stops = np.cumsum(sizes * fine)
-        ends_a, ends_b = np.cumsum(both.a.sizes[a]), np.cumsum(both.b.sizes[b])
-        last_a, last_b = _common(ends_a, ends_b, 0, int(stops[-1]))
-        text, group_ends = both.write(a, last_a, b, last_b)
-        through = np.searchsorted(ends_a[last_a], stops, "right")
-        n_groups = np.diff(through, prepend=0)
-        owner = np.repeat(np.arange(len(sizes)), n_groups)
-        pairs, times, own = _counted(a[last_a] << 32 | b[last_b], owner, len(sizes))
-        cuts = np.concatenate([[0], group_ends])[np.concatenate([[0], through])].tolist()
-        groups = [bytes(text[x : max(x, y - 1)]) for x, y in zip(cuts, cuts[1:], strict=False)]
+        raw = np.frombuffer(spaced.buffers()[2], np.uint8)[at[0] : at[-1]]
+        cuts, first = _cuts(raw, at - at[0])
+        pieces = pa.StringArray.from_buffers(
+            len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw)
+        ).dictionary_encode()
+        codes = cache.slots(pieces.dictionary)[pieces.indices.to_numpy()]
+        held = cache.whole
+        # One piece without tokens, and the text has none.
+        fine = segment_sums((~held.ok[codes]).astype(np.int64), first) == 0
+        fine &= np.diff(at) > 1
+        codes = codes[np.repeat(fine, np.diff(first))]
+        first = np.concatenate([[0], np.cumsum(np.diff(first) * fine)])
+        n_a, n_b, n_groups = (
+            segment_sums(n[codes], first) for n in (held.n_a, held.n_b, held.n_groups)
+        )
+        sizes = np.diff(held.text_at)[codes]
+        text = held.text[_ranges(held.text_at[codes], sizes)]
+        text_at = np.concatenate([[0], np.cumsum(sizes)])[first]
+        link_at = np.concatenate([[0], np.cumsum(held.n_groups)])
+        links = held.links[_ranges(link_at[codes], held.n_groups[codes])]
+        owner = np.repeat(np.arange(len(texts)), n_groups)
+        pairs, times, own = _counted(links, owner, len(texts))
+        whole = memoryview(text)
+        bounds = text_at.tolist()
+        groups = [bytes(whole[x : max(x, y - 1)]) for x, y in zip(bounds, bounds[1:], strict=False)]
         lists = pa.array(own.astype(np.int32))
         return [
             pa.array(n_a), pa.array(n_b), pa.array(n_groups),
