@@ -308,11 +308,14 @@ def test_reports(spark):
     hits = srch.search(three_docs(spark), query_of(spark), half_and_one(), 2)
     lines = [r.line for r in render_hits(hits).orderBy("rank").collect()]
     assert lines == ["1) cos=0.8944", "2) cos=0.4472"]
-    queries = spark.createDataFrame([(1, 'say "hi"\n'), (2, "b")], "query_id bigint, query string")
+    queries = spark.createDataFrame(
+        [(1, 'say "hi"\n'), (2, "b"), (3, "\\\x01\x7f\t")], "query_id bigint, query string"
+    )
     report = search_report(hits, queries).orderBy("query_id").collect()
     assert [(r.n_hits, r.line) for r in report] == [
         (2, 'Retrieved 2 results for query "say \\"hi\\"\\n"'),
         (0, 'Retrieved 0 results for query "b"'),
+        (0, 'Retrieved 0 results for query "\\\\\\x01\\x7f\\t"'),
     ]
 
 

@@ -43,16 +43,20 @@ def summary_lines(
     ]
 
 
+#: Signs that a quoted text writes with a letter.
+_ESCAPES = {
+    "\\": "\\\\", '"': '\\"', "\x07": "\\a", "\b": "\\b", "\f": "\\f", "\n": "\\n",
+    "\r": "\\r", "\t": "\\t", "\v": "\\v",
+}
+
+
 def _quoted(text: Column) -> Column:
-    """Double-quoted, with backslash, quote, newline, return and tab escaped."""
-    for raw, escaped in (
-        ("\\", "\\\\"),
-        ('"', '\\"'),
-        ("\n", "\\n"),
-        ("\r", "\\r"),
-        ("\t", "\\t"),
-    ):
+    """Double-quoted; backslash, quote and control characters are escaped."""
+    for raw, escaped in _ESCAPES.items():
         text = F.replace(text, F.lit(raw), F.lit(escaped))
+    for code in [*range(0x20), 0x7F]:
+        if chr(code) not in _ESCAPES:
+            text = F.replace(text, F.lit(chr(code)), F.lit(f"\\x{code:02x}"))
     return F.concat(F.lit('"'), text, F.lit('"'))
 
 
