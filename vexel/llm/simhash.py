@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vexel.llm.common import drop_stage, stage, text_column
+from vexel.llm.common import drop_stage, ranges, stage, text_column
 from vexel.llm.components import connected_components
 
 BITS = 64
 SHINGLE = 4
 MAX_DISTANCE = 4
-SEGMENTS = 3
 _SEED = 42
+#: Nodes of a task, which makes tens to a thousand probes of each.
+_NODES_A_TASK = 10_000
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -155,10 +157,24 @@ def _near_groups(nodes: DataFrame) -> DataFrame:
     return found
 
 
+def best_segments(count: int, max_distance: int = MAX_DISTANCE) -> int:
+    """The number of segments with the least probes and expected table matches.
+
+    Fewer segments mean larger balls but longer, more telling keys: the more
+    fingerprints there are, the fewer.
+    """
+    def cost(segments: int) -> float:
+        radius = max_distance // segments
+        return sum(
+            sum(comb(width, r) for r in range(radius + 1)) * (1 + count / 2**width)
+            for _, width in _segments(segments)
+        )
+
+    return min(range(2, max(3, max_distance + 2)), key=cost)
+
+
 def near_links(
-    nodes: DataFrame,
-    max_distance: int = MAX_DISTANCE,
-    segments: int = SEGMENTS,
+    nodes: DataFrame, segments: int, max_distance: int = MAX_DISTANCE
 ) -> DataFrame:
     """Links (u, v), u < v, between ``nodes (fp, g)`` of different groups ``g``.
 
@@ -172,34 +188,31 @@ def near_links(
         & (F.col("u_g") != F.col("v_g"))
         & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_distance)
     )
-    met = probes.join(
-        table.hint("shuffle_hash"), (probes["key"] == table["key"]) & near
-    )
+    met = probes.join(table, (probes["key"] == table["key"]) & near)
     return met.select("u", "v", "u_g", "v_g")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    shingle: int = SHINGLE,
-    max_distance: int = MAX_DISTANCE,
-    segments: int = SEGMENTS,
+def _components(
+    marked: DataFrame, lowest_of: str, max_distance: int, segments: int | None
 ) -> DataFrame:
-    """(key, fp, component) for every row of ``docs``."""
-    marked = stage(fingerprints(docs, key, text, shingle), "fingerprints")
-    nodes = stage(marked.groupBy("fp").agg(F.min(key).alias("first")), "nodes")
-    grouped = nodes.select("fp", F.col("fp").alias("g"))
+    """(fp, component): for every fingerprint of ``marked`` the least ``lowest_of`` of
+    its component; nulls count only where there is nothing else."""
+    nodes = stage(marked.groupBy("fp").agg(F.min(lowest_of).alias("first")), "nodes")
+    count = nodes.count()
+    segments = segments or best_segments(count, max_distance)
+    # Few rows, but many probes of each.
+    spread = nodes.repartition(ranges(marked.sparkSession, count, _NODES_A_TASK), "fp")
+    grouped = spread.select("fp", F.col("fp").alias("g"))
     near = None
     if max_distance >= 2:
-        near = _near_groups(nodes)
+        near = _near_groups(spread)
         grouped = stage(
-            nodes.join(near, F.col("fp") == F.col("node"), "left").select(
+            spread.join(near, F.col("fp") == F.col("node"), "left").select(
                 "fp", F.coalesce("root", "fp").alias("g")
             ),
             "groups",
         )
-    links = stage(near_links(grouped, max_distance, segments), "links")
+    links = stage(near_links(grouped, segments, max_distance), "links")
     roots = connected_components(links.select(F.col("u_g").alias("u"), F.col("v_g").alias("v")))
     joined = (
         nodes.join(grouped, "fp")
@@ -211,6 +224,22 @@ def near_duplicates(
     drop_stage(nodes, near, links, roots)
     if near is not None:
         drop_stage(grouped)
+    return named
+
+
+def near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_distance: int = MAX_DISTANCE,
+    segments: int | None = None,
+) -> DataFrame:
+    """(key, fp, component) for every row of ``docs``."""
+    marked = stage(fingerprints(docs, key, text, shingle), "fingerprints")
+    named = _components(
+        marked.withColumnRenamed(key, "__key"), "__key", max_distance, segments
+    )
     return marked.join(named, "fp").select(key, "fp", "component")
 
 
@@ -229,12 +258,31 @@ def op3_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays.
+    """Pipeline stage: of each component one document stays, that with the smallest id.
 
-    Rows that repeat that id stay together; documents with a null id stay.
+    Of several rows with that id one stays; a row with a null id stays only where its
+    component has no other.  Rows are told apart by themselves, not by their ids.
     """
-    found = near_duplicates(docs)
-    gone = found.where(F.col("doc_id") != F.col("component")).select(
-        F.col("doc_id").alias("__gone")
+    @F.arrow_udf("bigint")
+    def fp(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [fingerprint(t.as_py()) for t in texts.fill_null("")]
+            yield pa.array(np.array(found, np.uint64).view(np.int64))
+
+    # Written with the rows, so that their numbers stay as they are.
+    held = stage(
+        docs.withColumn("__fp", fp.asNondeterministic()(F.col("text"))).withColumn(
+            "__row", F.monotonically_increasing_id()
+        ),
+        "fingerprints",
+    )
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row"))
+    marked = held.select(F.col("__fp").alias("fp"), rank.alias("rank"))
+    named = _components(marked, "rank", MAX_DISTANCE, None)
+    gone = (
+        marked.join(named, "fp")
+        .where("rank.row <> component.row")
+        .select(F.col("rank.row").alias("__gone"))
     )
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    kept = held.join(gone, F.col("__row") == F.col("__gone"), "left_anti")
+    return kept.select(*docs.columns)
