@@ -8,7 +8,8 @@ Words repeat, so each is given to the tokenizers library once per worker.
 
 from __future__ import annotations
 
-import re
+import os
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -17,15 +18,15 @@ from tokenizers import Tokenizer
 
 from vexel.llm.common import value_offsets
 
-#: Words kept per worker; the cache starts anew beyond it.
-CACHE_WORDS = 800_000
+#: Words kept per worker (about 80 MB); beyond it the more used half stays.
+CACHE_WORDS = 400_000
 #: Bytes of text to encode at once.
 ENCODE_BYTES = 4 << 20
 #: A word that may be cut before its last sign: letters that are letters in every
 #: Unicode version and compose with nothing behind them.
 _LETTERS_AND_SIGN = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+[.,;:!?]$"
 
-_LETTERS = re.compile("[a-zß-öø-įı-ſ]+")
+_LETTERS = "^[a-zß-öø-įı-ſ]+$"
 _TOGETHER = 1_000
 #: What the vocabulary puts behind the last token of each piece.
 _WORD_END = "</w>"
@@ -42,6 +43,8 @@ def encoder(path: str) -> WordEncoder:
 
 class WordEncoder:
     def __init__(self, path: str) -> None:
+        # Spark's tasks are the parallelism; threads would each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(path)
         vocabulary = self._tokenizer.get_vocab()
         self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -56,8 +59,26 @@ class WordEncoder:
         self._slot: dict[str, int] = {"": 0}
         self._ids = np.zeros(1 << 16, np.uint32)
         self._end = np.zeros(1 << 14, np.int32)
+        self._hits = np.zeros(1 << 14, np.int32)
         self._slots, self._used = 1, 0
 
+    def _evict(self) -> None:
+        """Keep the half of the words that more steps have used; the rest is forgotten."""
+        hits = self._hits[: self._slots]
+        least = int(np.partition(hits, self._slots - CACHE_WORDS // 2)[-CACHE_WORDS // 2])
+        # Of equals none stays, so that at most half does.
+        kept = [(w, i) for w, i in self._slot.items() if i and hits[i] > least]
+        old_ids, old_end, old_hits = self._ids, self._end, self._hits
+        self._reset()
+        if not kept:
+            return
+        words, slots = zip(*kept, strict=True)
+        slots = np.array(slots)
+        begin, end = old_end[slots - 1], old_end[slots]
+        parts = [old_ids[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        self._store(list(words), np.concatenate(parts), np.cumsum(end - begin))
+        self._hits[1 : self._slots] = old_hits[slots] // 2
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids start."""
         # Space, newline and the like only: other white space stays in its word
@@ -75,12 +96,15 @@ class WordEncoder:
         take = np.arange(total, dtype=np.int32)
         take += np.repeat(shift, lengths)
         after = np.concatenate([[0], ends])
-        return self._ids[take], after[2 * value_offsets(lists)]
+        at = after[2 * value_offsets(lists)]
+        # Else Arrow keeps what one step needed, for every worker.
+        pa.default_memory_pool().release_unused()
+        return self._ids[take], at
 
     def _slots_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Cache slots of each word: of the whole, or of its letters and last sign."""
         if len(self._slot) > CACHE_WORDS:
-            self._reset()
+            self._evict()
         signed = pc.match_substring_regex(words, _LETTERS_AND_SIGN)
         tails = pc.if_else(signed, pc.utf8_slice_codeunits(words, -1, None), "")
         heads = pc.if_else(signed, pc.utf8_slice_codeunits(words, 0, -1), words)
@@ -91,32 +115,35 @@ class WordEncoder:
     def _slot_array(self, parts: pa.Array) -> np.ndarray:
         coded = parts.dictionary_encode()
         unique = coded.dictionary.to_pylist()
-        known = self._slot
-        self._learn([w for w in unique if w not in known])
-        slots = np.fromiter(map(known.__getitem__, unique), np.int32, len(unique))
+        found = map(self._slot.get, unique, repeat(-1))
+        slots = np.fromiter(found, np.int32, len(unique))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            slots[new] = self._learn(coded.dictionary.take(pa.array(new)))
+        self._hits[slots] += 1
         return slots[coded.indices.to_numpy()]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: pa.Array) -> np.ndarray:
         # Words of letters alone are one piece each, so many go into one text and its
         # pieces, told by their ends, are theirs in order; the others go one by one.
-        plain = [w for w in new if _LETTERS.fullmatch(w)]
-        for at in range(0, len(plain), _TOGETHER):
-            part = plain[at : at + _TOGETHER]
+        slots = np.zeros(len(new), np.int32)
+        letters = pc.match_substring_regex(new, _LETTERS).to_numpy(zero_copy_only=False)
+        for at, part in _parts(new, np.flatnonzero(letters)):
             ids = np.array(self._encode([" ".join(part)])[0].ids, np.uint32)
             ends = np.flatnonzero(self._closes[ids]) + 1
             if len(ends) != len(part):
                 raise ValueError("the vocabulary does not mark the ends of words")
-            self._store(part, ids, ends)
-        rest = [w for w in new if not _LETTERS.fullmatch(w)]
-        for at in range(0, len(rest), _TOGETHER):
-            part = rest[at : at + _TOGETHER]
+            slots[at] = self._store(part, ids, ends)
+        for at, part in _parts(new, np.flatnonzero(~letters)):
             ids = [e.ids for e in self._encode(part)]
             flat = np.array([i for x in ids for i in x], np.uint32)
-            self._store(part, flat, np.cumsum([len(x) for x in ids]))
+            slots[at] = self._store(part, flat, np.cumsum([len(x) for x in ids]))
+        return slots
 
-    def _store(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+    def _store(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
         while self._slots + len(words) > len(self._end):
             self._end = np.concatenate([self._end, np.zeros_like(self._end)])
+            self._hits = np.concatenate([self._hits, np.zeros_like(self._hits)])
         stop = self._used + len(ids)
         while stop > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
@@ -125,3 +152,11 @@ class WordEncoder:
         self._end[slots.start : slots.stop] = self._used + ends
         self._slot.update(zip(words, slots, strict=True))
         self._used, self._slots = stop, slots.stop
+        return np.arange(slots.start, slots.stop, dtype=np.int32)
+
+
+def _parts(words: pa.Array, places: np.ndarray):
+    """Some of the words in bounded lists, each with their places."""
+    for at in range(0, len(places), _TOGETHER):
+        some = places[at : at + _TOGETHER]
+        yield some, words.take(pa.array(some)).to_pylist()
