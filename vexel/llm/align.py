@@ -15,7 +15,9 @@ fragment and never leaves its task.
 
 Pieces are cut before a space between two characters that are not white space: no token
 of either tokenizer goes on beyond such a place (checked for B when it is loaded, given
-by A's pattern), so a piece's tokens are the text's.  A range's ends lie anywhere.
+by A's pattern), so a piece's tokens are the text's.  A range's ends lie anywhere.  Texts
+of one range are cut at all such spaces: words repeat, so a worker aligns each distinct
+piece once and puts a text's groups together from those of its pieces.
 
 Link counts: the links of an id pair are summed over the corpus.  Pairs with more than
 ``1 / FREQUENT`` of all links, at most ``FREQUENT`` by that, are sent to every task; all
