@@ -76,7 +76,7 @@ def corpus(seed):
     return rows + [(None, texts[3]), (rows[0][0], "other words under a known id here")]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_components_are_all_pairs(spark, seed):
     rows = corpus(seed)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)

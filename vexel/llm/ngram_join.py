@@ -33,26 +33,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from vexel.llm.common import drop_stage, stage, steps, text_column, value_offsets
+from pyspark.sql.pandas.types import to_arrow_type
+
+from vexel.llm.common import (
+    WHITESPACE,
+    conf,
+    drop_stage,
+    stage,
+    steps,
+    text_column,
+    value_offsets,
+)
 from vexel.llm.components import connected_components
 
 WIDTH = 5
 PERCENT = 80
-#: Classes of shingles by hash whose documents are counted: 16 MB of counters.
-CLASS_BITS = 22
+#: Classes of shingles by hash whose documents are counted: 4 MB of counters.
+CLASS_BITS = 20
 _COUNTERS_A_ROW = 1 << 12
 #: Parts of a set for the suffix filter.
 PARTS = 16
-#: Bits of the map that keeps sets without a candidate out of a shuffle: 8 MB.
+#: Bits of the maps that keep what meets nothing out of a shuffle: 8 MB each.
 _MAP_BITS = 26
+#: Bits of a shingle that are compared when it is asked which ones meet at all.
+_KEY_BITS = 40
+#: Pairs of sets that a task's Python worker is given at once.
+BATCH_PAIRS = 500
 _STEP_BYTES = 2 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+_BASE = 0xD6E8FEB86659FD93
 _SEED = 42
 
 
@@ -64,6 +77,17 @@ def _scramble(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _byte_signs() -> np.ndarray:
+    """A number per byte; a capital letter has that of its small one."""
+    byte = np.arange(256)
+    small = np.where((byte >= ord("A")) & (byte <= ord("Z")), byte + 32, byte)
+    return _scramble((small.astype(np.uint64) + np.uint64(1)) * _ODD)
+
+
+_SIGNS_OF_BYTES = _byte_signs()
+_SPACES = np.isin(np.arange(256), list(WHITESPACE))
+
+
 def _chained(words: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
     """One hash for the ``count`` words from each start."""
     h = np.full(len(starts), count, np.uint64)
@@ -72,18 +96,56 @@ def _chained(words: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
     return h
 
 
+_known_powers: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    known = _known_powers.get(base)
+    if known is None or len(known) < count:
+        known = np.full(max(count, _STEP_BYTES), base, np.uint64)
+        known[:1] = 1
+        known = np.multiply.accumulate(known)
+        if len(known) == _STEP_BYTES:  # those of a very long word are not kept
+            _known_powers[base] = known
+    return known[:count]
+
+
+def _word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash per word of the texts ``raw[at[i]:at[i + 1]]``, and where each text's start.
+
+    A word's hash is a polynomial of its bytes, taken from running sums over all bytes
+    and moved to the word's start, so there is no step per word.
+    """
+    filled = ~_SPACES[raw]
+    begin, stop = filled.copy(), filled.copy()
+    begin[1:] &= ~filled[:-1]
+    stop[:-1] &= ~filled[1:]
+    full = np.diff(at) > 0
+    first, last = at[:-1][full], at[1:][full] - 1
+    begin[first], stop[last] = filled[first], filled[last]
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
+    out = np.empty(len(starts), np.uint64)
+    done = 0
+    while done < len(starts):
+        # Some words of about a megabyte, so that the sums stay small.
+        low = starts[done]
+        stop_at = max(done + 1, int(np.searchsorted(ends, low + _STEP_BYTES // 2, "right")))
+        high = ends[stop_at - 1]
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(_SIGNS_OF_BYTES[raw[low:high]] * _powers(_BASE, high - low), out=sums[1:])
+        a, b = starts[done:stop_at] - low, ends[done:stop_at] - low
+        moved = (sums[b] - sums[a]) * _powers(pow(_BASE, -1, 1 << 64), high - low)[a]
+        out[done:stop_at] = _scramble(moved + (b - a).astype(np.uint64) * _ODD)
+        done = stop_at
+    return out, np.searchsorted(starts, at)
+
+
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and where each text's start."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    coded = lists.values.slice(0, value_offsets(lists)[-1]).dictionary_encode()
-    own = np.array(
-        [xxhash.xxh64_intdigest(w, _SEED) for w in coded.dictionary.to_pylist()], np.uint64
-    )
-    filled = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
-    codes = coded.indices.to_numpy()
-    real = filled[codes] if len(codes) else np.zeros(0, bool)
-    words = own[codes[real]]
-    ends = np.concatenate([[0], np.cumsum(real)])[value_offsets(lists)]
+    offsets = value_offsets(texts)
+    buffer = texts.buffers()[2]
+    raw = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
+    words, ends = _word_hashes(raw[offsets[0] : offsets[-1]], offsets - offsets[0])
     sizes = np.diff(ends)
     hashes, owners = [], []
     for count in range(1, width + 1):
@@ -98,13 +160,21 @@ def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.nd
             starts = ends[docs] + np.arange(len(docs)) - first[docs]
         hashes.append(_chained(words, starts, count))
         owners.append(docs)
-    h, doc = np.concatenate(hashes), np.concatenate(owners)
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
+    # A short text has one shingle and stands in one of the lists alone.
+    amounts = np.where(sizes < width, np.minimum(sizes, 1), sizes - width + 1)
+    at = np.concatenate([[0], np.cumsum(amounts)])
+    h = np.empty(at[-1], np.uint64)
+    for found, docs in zip(hashes[:-1], owners[:-1], strict=True):
+        h[at[docs]] = found
+    docs = owners[-1]
+    h[at[docs] + np.arange(len(docs)) - (np.cumsum(runs) - runs)[docs]] = hashes[-1]
+    cuts = at.tolist()
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        h[a:b].sort()
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    h, doc = h[new], doc[new]
-    return h, np.searchsorted(doc, np.arange(len(sizes) + 1))
+    new[1:] = h[1:] != h[:-1]
+    new[at[:-1][amounts > 0]] = True
+    return h[new], np.concatenate([[0], np.cumsum(new)])[at]
 
 
 def _each_set(docs: DataFrame, text: str, width: int, columns: list[Column], schema: str, make):
@@ -147,55 +217,74 @@ def _digests(h: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def marks(docs: DataFrame, key: str, text: str, width: int = WIDTH) -> DataFrame:
-    """(key, node, other, n): the digest of each row's set, in two halves, and its size."""
-    kind = docs.select(key).schema[0].dataType.simpleString()
+def _parts(h: np.ndarray, at: np.ndarray) -> pa.Array:
+    """How many members of each set are in each of ``PARTS`` hash classes."""
+    rows = len(at) - 1
+    place = np.repeat(np.arange(rows) * PARTS, np.diff(at))
+    place += (h & np.uint64(PARTS - 1)).astype(np.int64)
+    sizes = np.bincount(place, minlength=rows * PARTS).astype(np.int32)
+    ends = np.arange(0, rows * PARTS + 1, PARTS, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(sizes))
 
-    class Marks(_Sets):
-        def step(self, rows, h, at):
-            digests = _digests(h, at)
-            return pa.RecordBatch.from_arrays(
-                [
-                    rows.column(0),
-                    pa.array([d[0] for d in digests], pa.int64()),
-                    pa.array([d[1] for d in digests], pa.int64()),
-                    pa.array(np.diff(at)),
-                ],
-                names=["key", "node", "other", "n"],
-            )
 
-    return _each_set(
-        docs, text, width, [F.col(key).alias("key")],
-        f"key {kind}, node bigint, other bigint, n bigint", Marks,
-    )
+_SIGNS = (
+    "key {kind}, node bigint, other bigint, n bigint, parts array<int>, part bigint, "
+    "counts binary"
+)
 
 
-# --- rare first -----------------------------------------------------------------
-
+def marks(docs: DataFrame, key: str, text: str, width: int = WIDTH) -> DataFrame:
+    """(key, node, other, n, parts) of each row: its set's digest in two halves, its
+    size, and the sizes of its parts by hash.
 
-def class_counts(docs: DataFrame, text: str, width: int = WIDTH) -> np.ndarray:
-    """Documents per hash class of shingles: a table of fixed size, added up by tasks."""
+    At its end a task also gives its counters of shingle classes, in rows with ``part``
+    and ``counts``, so that the texts are read once for both.
+    """
+    kind = docs.select(key).schema[0].dataType
 
-    class Counts(_Sets):
+    class Marks(_Sets):
         def __init__(self) -> None:
             self.counts = np.zeros(1 << CLASS_BITS, np.uint32)
+            self.key_type = to_arrow_type(kind)
+
+        def rows(self, key, node, other, n, parts, part, counts):
+            return pa.RecordBatch.from_arrays(
+                [key, *(pa.array(c, pa.int64()) for c in (node, other, n)), parts,
+                 pa.array(part, pa.int64()), pa.array(counts, pa.binary())],
+                names=["key", "node", "other", "n", "parts", "part", "counts"],
+            )
 
         def step(self, rows, h, at):
             np.add.at(self.counts, (h >> np.uint64(64 - CLASS_BITS)).astype(np.int64), 1)
+            digests = _digests(h, at)
+            none = [None] * len(digests)
+            return self.rows(
+                rows.column(0), [d[0] for d in digests], [d[1] for d in digests],
+                np.diff(at), _parts(h, at), none, none,
+            )
 
         def finish(self):
-            parts = self.counts.reshape(-1, _COUNTERS_A_ROW)
-            used = np.flatnonzero(parts.any(axis=1))
+            counters = self.counts.reshape(-1, _COUNTERS_A_ROW)
+            used = np.flatnonzero(counters.any(axis=1))
             for a in range(0, len(used), 64):
                 some = used[a : a + 64]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(some, pa.int64()),
-                        pa.array([parts[i].tobytes() for i in some], pa.binary()),
-                    ],
-                    names=["part", "counts"],
+                none = [None] * len(some)
+                yield self.rows(
+                    pa.nulls(len(some), self.key_type), none, none, none,
+                    pa.nulls(len(some), pa.list_(pa.int32())), some,
+                    [counters[i].tobytes() for i in some],
                 )
 
+    schema = _SIGNS.format(kind=kind.simpleString())
+    return _each_set(docs, text, width, [F.col(key).alias("key")], schema, Marks)
+
+
+# --- rare first -----------------------------------------------------------------
+
+
+def class_counts(marked: DataFrame) -> np.ndarray:
+    """Documents per hash class of shingles: a table of fixed size, added up by tasks."""
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One running array per part, however many tasks counted.
         total: dict[int, np.ndarray] = {}
@@ -215,10 +304,9 @@ def class_counts(docs: DataFrame, text: str, width: int = WIDTH) -> np.ndarray:
                 names=["part", "counts"],
             )
 
-    schema = "part bigint, counts binary"
-    found = _each_set(docs, text, width, [], schema, Counts)
+    found = marked.where("part IS NOT NULL").select("part", "counts").repartition("part")
     out = np.zeros(1 << CLASS_BITS, np.uint32)
-    for row in found.repartition("part").mapInArrow(add, schema).toLocalIterator():
+    for row in found.mapInArrow(add, "part bigint, counts binary").toLocalIterator():
         at = row["part"] * _COUNTERS_A_ROW
         out[at : at + _COUNTERS_A_ROW] = np.frombuffer(row["counts"], np.uint32)
     return out
@@ -241,10 +329,34 @@ def prefix_sizes(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return probe, index
 
 
-def prefixes(docs: DataFrame, text: str, counts, width: int, percent: int) -> DataFrame:
+class _Bits:
+    """A set of 64-bit numbers by their low bits; may say yes too often, never no."""
+
+    def __init__(self, numbers: DataFrame) -> None:
+        spark = numbers.sparkSession
+        bit = F.col(numbers.columns[0]).bitwiseAND(F.lit((1 << _MAP_BITS) - 1))
+        rows = (
+            numbers.select(bit.alias("bit"))
+            .groupBy(F.shiftright("bit", 15).alias("part"))
+            .agg(F.bitmap_construct_agg(F.col("bit") % (1 << 15)).alias("bits"))
+        )
+        held = np.zeros(1 << (_MAP_BITS - 3), np.uint8)
+        for row in rows.toLocalIterator():
+            at = row["part"] << 12
+            held[at : at + 4096] = np.frombuffer(row["bits"], np.uint8)
+        self._sent = spark.sparkContext.broadcast(held)
+
+    def have(self, numbers: np.ndarray) -> np.ndarray:
+        bit = (numbers.view(np.uint64) & np.uint64((1 << _MAP_BITS) - 1)).astype(np.int64)
+        return (self._sent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+
+
+def prefixes(
+    docs: DataFrame, text: str, counts, width: int, percent: int, shared: _Bits | None = None
+) -> DataFrame:
     """(shingle, node, n, pos, found) of the first shingles of each set.
 
-    A task gives the copies of a set once.
+    A task gives the copies of a set once; of shingles that are not ``shared``, none.
     """
 
     class Prefixes(_Sets):
@@ -254,21 +366,29 @@ def prefixes(docs: DataFrame, text: str, counts, width: int, percent: int) -> Da
         def step(self, rows, h, at):
             n = np.diff(at)
             nodes = np.array([d[0] for d in _digests(h, at)], np.int64)
-            fresh = n > 0
-            for i in np.flatnonzero(fresh).tolist():
-                node = int(nodes[i])
-                fresh[i] = node not in self.seen
-                self.seen.add(node)
-            doc = np.repeat(np.arange(len(n)), n)
             rarity = counts.value[(h >> np.uint64(64 - CLASS_BITS)).astype(np.int64)]
-            order = np.lexsort((h, rarity, doc))
-            pos = np.arange(len(h)) - at[doc]
             probe, index = prefix_sizes(n, percent)
-            take = (pos < probe[doc]) & fresh[doc]
-            doc, pos, h = doc[take], pos[take], h[order][take]
+            taken, docs = [], []
+            cuts = at.tolist()
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                node = int(nodes[i])
+                if a == b or node in self.seen:
+                    continue
+                self.seen.add(node)
+                # The hashes ascend, so equal counts stay in their order.
+                taken.append(a + rarity[a:b].argsort(kind="stable")[: probe[i]])
+                docs.append(i)
+            if not docs:
+                return None
+            doc = np.repeat(docs, [len(t) for t in taken])
+            pos = np.concatenate([np.arange(len(t)) for t in taken])
+            key = h[np.concatenate(taken)]
+            if shared is not None:
+                keep = shared.have(key >> np.uint64(64 - _KEY_BITS))
+                doc, pos, key = doc[keep], pos[keep], key[keep]
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(h.view(np.int64)),
+                    pa.array(key.view(np.int64)),
                     pa.array(nodes[doc]),
                     pa.array(n[doc].astype(np.int32)),
                     pa.array(pos.astype(np.int32)),
@@ -281,102 +401,92 @@ def prefixes(docs: DataFrame, text: str, counts, width: int, percent: int) -> Da
     return _each_set(docs, text, width, [], schema, Prefixes)
 
 
-def _meetings(entries: DataFrame) -> DataFrame:
-    """The entries on whose shingle two sets can meet, each once."""
-    shared = (
-        entries.groupBy("shingle")
+def _meetings(docs: DataFrame, text: str, counts, width: int, percent: int) -> DataFrame:
+    """The entries on whose shingle two sets can meet, each once.
+
+    Most shingles occur in one text.  So a first shuffle moves nothing but a part of
+    each shingle's hash and how often it stands there; a map of those that stand there
+    twice keeps nearly all others out of the second, which moves whole entries.
+    """
+    entries = prefixes(docs, text, counts, width, percent)
+    key = F.shiftrightunsigned("shingle", 64 - _KEY_BITS)
+    # The count and, above it, how many can be found by it, in one number.
+    seen = entries.select(
+        key.alias("key"), (F.lit(1) + F.col("found") * F.lit(1 << 32)).alias("one")
+    )
+    often = seen.groupBy("key").agg(F.sum("one").alias("many"))
+    often = often.where(((F.col("many") % (1 << 32)) > 1) & (F.col("many") >= 1 << 32))
+    shared = _Bits(often.select("key"))
+    raw = stage(prefixes(docs, text, counts, width, percent, shared), "entries")
+    once = raw.groupBy("shingle", "node").agg(
+        F.min("n").alias("n"), F.min("pos").alias("pos"), F.max("found").alias("found")
+    )
+    once = stage(once, "entries")
+    meet = (
+        once.groupBy("shingle")
         .agg(
             F.min("node").alias("a"), F.max("node").alias("b"), F.max("found").alias("f")
         )
         .where("a <> b and f = 1")
         .select("shingle")
     )
-    raw = stage(entries.join(shared, "shingle"), "meetings")
-    once = raw.groupBy("shingle", "node").agg(
-        F.min("n").alias("n"), F.min("pos").alias("pos"), F.max("found").alias("found")
-    )
-    out = stage(once, "meetings")
-    drop_stage(raw)
+    out = stage(once.join(meet, "shingle"), "meetings")
+    drop_stage(raw, once)
     return out
 
 
 def _whole_sets(docs: DataFrame, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """(node, n, parts, members) of the ``wanted`` nodes.
+    """(node, members) of the ``wanted`` nodes.
 
-    A map of hashed nodes, of fixed size, keeps most other sets out of the shuffle;
-    the join then keeps the right ones.
+    A map of them keeps most other sets out of the shuffle; the join then keeps the
+    right ones.
     """
-    bit = F.pmod(F.xxhash64("node"), F.lit(1 << _MAP_BITS))
-    rows = (
-        wanted.select(bit.alias("bit"))
-        .groupBy(F.shiftright("bit", 15).alias("part"))
-        .agg(F.bitmap_construct_agg(F.col("bit") % (1 << 15)).alias("bits"))
-    )
-    maps = np.zeros(1 << (_MAP_BITS - 3), np.uint8)
-    for row in rows.toLocalIterator():
-        at = row["part"] << 12
-        raw = np.frombuffer(row["bits"], np.uint8)
-        maps[at : at + len(raw)] |= raw
-    shared = docs.sparkSession.sparkContext.broadcast(maps)
+    mapped = _Bits(wanted)
 
     class Members(_Sets):
         def __init__(self) -> None:
             self.seen: set[int] = set()
 
         def step(self, rows, h, at):
-            digests = _digests(h, at)
-            out: list[tuple] = []
-            for i, (node, _) in enumerate(digests):
-                if at[i + 1] == at[i] or node in self.seen:
-                    continue
-                self.seen.add(node)
-                bit = _spark_hash(node) % (1 << _MAP_BITS)
-                if not shared.value[bit >> 3] >> (bit & 7) & 1:
-                    continue
-                own = h[at[i] : at[i + 1]]
-                sizes = np.bincount(
-                    (own & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS
-                )
-                out.append((node, len(own), sizes.tolist(), own.tobytes()))
-            if not out:
+            nodes = np.array([d[0] for d in _digests(h, at)], np.int64)
+            likely = mapped.have(nodes) & (np.diff(at) > 0)
+            found, members = [], []
+            for i in np.flatnonzero(likely).tolist():
+                node = int(nodes[i])
+                if node not in self.seen:
+                    self.seen.add(node)
+                    found.append(node)
+                    members.append(h[at[i] : at[i + 1]].tobytes())
+            if not found:
                 return None
-            node, n, sizes, members = zip(*out, strict=True)
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(node, pa.int64()),
-                    pa.array(n, pa.int64()),
-                    pa.array(sizes, pa.list_(pa.int32())),
-                    pa.array(members, pa.binary()),
-                ],
-                names=["node", "n", "parts", "members"],
+                [pa.array(found, pa.int64()), pa.array(members, pa.binary())],
+                names=["node", "members"],
             )
 
-    schema = "node bigint, n bigint, parts array<int>, members binary"
-    found = _each_set(docs, text, width, [], schema, Members)
+    found = _each_set(docs, text, width, [], "node bigint, members binary", Members)
     return stage(
         found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets"
     )
 
 
-def _spark_hash(node: int) -> int:
-    """xxhash64 of one BIGINT as Spark computes it."""
-    return xxhash.xxh64_intdigest(node.to_bytes(8, "little", signed=True), 42)
-
-
 # --- pairs ----------------------------------------------------------------------
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _compare(pairs: DataFrame, ready: _Prepared, percent: int) -> DataFrame:
     """(u, v, overlap) of the linked among ``pairs (u, v)``, each compared once."""
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(
+    def side(table: DataFrame, name: str, *columns: str) -> DataFrame:
+        return table.select(
             F.col("node").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in columns)
         )
 
-    sized = pairs.join(side("v", "n", "parts"), "v").join(side("u", "n", "parts"), "u")
+    sized = pairs
+    for name in ("v", "u"):
+        sized = sized.join(side(ready.sizes, name, "n", "parts"), name)
     most = F.aggregate(
-        F.zip_with("u_parts", "v_parts", lambda a, b: F.least(a, b)), F.lit(0), lambda a, b: a + b
+        F.zip_with("u_parts", "v_parts", lambda a, b: F.least(a, b)),
+        F.lit(0), lambda a, b: a + b,
     )
     # The suffix filter.
     likely = stage(
@@ -385,7 +495,12 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select("u", "v", "least"),
         "likely",
     )
-    whole = likely.join(side("v", "members"), "v").join(side("u", "members"), "u")
+    # Only the sets that are left to compare are made again and shuffled.
+    nodes = likely.select(F.col("u").alias("node")).union(likely.select("v")).distinct()
+    sets = ready.sets_of(nodes)
+    whole = likely
+    for name in ("v", "u"):
+        whole = whole.join(side(sets, name, "members"), name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -404,10 +519,13 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [*some.columns, pa.array(overlap, pa.int64())], names=["u", "v", "overlap"]
             )
 
-    links = stage(
-        whole.mapInArrow(run, "u bigint, v bigint, overlap bigint"), "links"
-    )
-    drop_stage(likely)
+    # Two whole sets a row: fewer rows at a time than usual.
+    small = {"spark__sql__execution__arrow__maxRecordsPerBatch": str(BATCH_PAIRS)}
+    with conf(pairs.sparkSession, **small):
+        links = stage(
+            whole.mapInArrow(run, "u bigint, v bigint, overlap bigint"), "links"
+        )
+    drop_stage(likely, sets)
     return links
 
 
@@ -488,32 +606,58 @@ def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
 class _Prepared:
     """Counted, ordered and indexed documents."""
 
-    def __init__(self, docs: DataFrame, text: str, width: int, percent: int) -> None:
-        spark = docs.sparkSession
-        counts = spark.sparkContext.broadcast(class_counts(docs, text, width))
-        entries = prefixes(docs, text, counts, width, percent)
-        self.entries = _meetings(entries)
+    def __init__(
+        self, docs: DataFrame, marked: DataFrame, text: str, width: int, percent: int
+    ) -> None:
+        counts = docs.sparkSession.sparkContext.broadcast(class_counts(marked))
+        self.docs, self.text, self.width = docs, text, width
+        self.entries = _meetings(docs, text, counts, width, percent)
         wanted = self.entries.select("node").distinct()
-        self.sets = _whole_sets(docs, text, width, wanted)
+        self.sizes = stage(
+            marked.join(wanted, "node", "left_semi")
+            .groupBy("node")
+            .agg(F.first("n").alias("n"), F.first("parts").alias("parts")),
+            "sizes",
+        )
+
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        return _whole_sets(self.docs, self.text, self.width, nodes)
 
     def drop(self) -> None:
-        drop_stage(self.entries, self.sets)
+        drop_stage(self.entries, self.sizes)
+
+
+def _marked(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """:func:`marks`, written; two sets with one ``node`` are an error."""
+    marked = stage(marks(docs, key, text, width), "marks")
+    other = marked.where("n > 0").groupBy("node").agg(
+        F.min("other").alias("a"), F.max("other").alias("b")
+    )
+    if other.where("a <> b").limit(1).count():
+        raise ValueError("two different sets share 64 bits of their digest")
+    return marked
 
 
 def similar_pairs(
-    docs: DataFrame, text: str = "text", width: int = WIDTH, percent: int = PERCENT
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
 ) -> DataFrame:
     """Every linked pair of different sets: (u, v, overlap) by node, see :func:`marks`."""
-    ready = _Prepared(docs, text, width, percent)
+    marked = _marked(docs, key, text, width)
+    ready = _Prepared(docs, marked, text, width, percent)
     alone = ready.entries.withColumn("g", F.col("node"))
-    links = _compare(_cross_pairs(alone, percent), ready.sets, percent)
+    links = _compare(_cross_pairs(alone, percent), ready, percent)
     ready.drop()
+    drop_stage(marked)
     return links
 
 
 def _groups(ready: _Prepared, percent: int) -> DataFrame:
     """(node, root) of the nodes that link with others."""
-    first = _compare(_star_pairs(ready.entries, percent), ready.sets, percent)
+    first = _compare(_star_pairs(ready.entries, percent), ready, percent)
     near = connected_components(first)
     grouped = stage(
         ready.entries.join(near, "node", "left").withColumn("g", F.coalesce("root", "node")),
@@ -526,7 +670,7 @@ def _groups(ready: _Prepared, percent: int) -> DataFrame:
         .select("shingle")
     )
     rest = stage(grouped.join(mixed, "shingle"), "rest")
-    more = _compare(_cross_pairs(rest, percent), ready.sets, percent)
+    more = _compare(_cross_pairs(rest, percent), ready, percent)
     every = connected_components(first.select("u", "v").union(more.select("u", "v")))
     drop_stage(first, near, grouped, rest, more)
     return every
@@ -540,17 +684,11 @@ def near_duplicates(
     percent: int = PERCENT,
 ) -> DataFrame:
     """(key, n_shingles, node, component) for every row of ``docs``."""
-    marked = stage(marks(docs, key, text, width), "marks")
+    marked = _marked(docs, key, text, width)
     nodes = stage(
-        marked.where("n > 0").groupBy("node").agg(
-            F.min("key").alias("first"),
-            F.min("other").alias("a"), F.max("other").alias("b"),
-        ),
-        "nodes",
+        marked.where("n > 0").groupBy("node").agg(F.min("key").alias("first")), "nodes"
     )
-    if nodes.where("a <> b").limit(1).count():
-        raise ValueError("two different sets share 64 bits of their digest")
-    ready = _Prepared(docs, text, width, percent)
+    ready = _Prepared(docs, marked, text, width, percent)
     roots = _groups(ready, percent)
     joined = nodes.join(roots, "node", "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")
@@ -577,3 +715,33 @@ def op13_ngram_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select(
         "doc_id", "n_shingles", F.col("component").alias("component_id")
     )
+
+
+OP13_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3),
+      lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM texts
+), each AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 180 * count(*) >= 80 * (a.n + b.n)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM sets
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+)
+SELECT doc_id, len(any_value(s))::BIGINT AS n_shingles, min(y) AS component_id
+FROM sets JOIN reach ON x = doc_id
+GROUP BY doc_id
+"""
