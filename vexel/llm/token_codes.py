@@ -17,7 +17,8 @@ then per level its size (uint64), chunks, bitmap bytes and rank directory (uint3
 
 Defined cases: a null text is empty and has the end id alone; documents with a null
 id come first; repeated ids are written each, in the order of their texts; an empty
-table gives a manifest without shards; other columns are not read.
+table gives a manifest without shards; other columns are not read.  Ids are BIGINT in
+the files: an id that is no whole number is an error.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ _MAGIC = b"VXTC"
 HEADER = "<4sQQI"
 _MANIFEST = "manifest.json"
 #: Ids of one shard, about; a longer document stands alone.
-SHARD_TOKENS = 4 << 20
+SHARD_TOKENS = 2 << 20
 END_ID = 2
 #: Rows given to a task's Python worker at once: both sides hold a batch whole.
 BATCH_ROWS = 2_000
@@ -201,7 +202,8 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
         return pafs.LocalFileSystem(), path
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return pafs.FileSystem.from_uri(path)
+    # Spark's name for the object store that Arrow calls s3.
+    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 @dataclass
