@@ -239,6 +239,53 @@ def test_leaks_do_not_depend_on_item_blocks(spark, monkeypatch):
         assert {r["doc_id"]: r["items"] for r in found} == want
 
 
+def test_the_fit_counts_every_document(spark, monkeypatch):
+    """Against the leading directions of all blocks, worked out in numpy."""
+    rng = np.random.default_rng(5)
+    names = np.array([f"w{i}" for i in range(40)])
+    share = 1 / np.arange(1, 41)
+    texts = [
+        " ".join(names[rng.choice(40, rng.integers(0, 60), p=share / share.sum())])
+        for _ in range(6_000)
+    ]
+    # Words that only three of the documents hold, next to each other many times.
+    texts[17] = texts[2_900] = texts[5_801] = "rare odd " * 3_000
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(5)
+    items = [" ".join(names), "rare odd w3 w4 w5 w6 w7 w8 w9"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    monkeypatch.setattr(decontaminate, "RANK", 6)
+    monkeypatch.setattr(decontaminate, "OVERSAMPLE", 40)
+    (block,) = decontaminate.prepare(docs, benchmark, "item_id", None).value
+    place = block.terms.place
+    size = len(place)
+    held = [[place[w] for w in t.split()] for t in texts]
+    df = np.bincount([c for h in held for c in set(h)], minlength=size)
+    idf = np.log((1 + len(texts)) / (1 + df)) + 0.1
+    assert np.allclose(block.terms.idf, np.append(idf, np.median(idf)))
+    rows = np.array(
+        [
+            np.bincount(h[a : a + decontaminate.BLOCK], minlength=size) * idf
+            for h in held
+            for a in range(0, len(h), decontaminate.BLOCK)
+        ]
+    )
+    corpus = rows.T @ rows / sum((idf[h] ** 2).sum() for h in held)
+    own = np.array([np.bincount([place[w] for w in t.split()], minlength=size) * idf for t in items])
+    own /= np.sqrt([[(idf[[place[w] for w in t.split()]] ** 2).sum()] for t in items])
+    values, axes = np.linalg.eigh(corpus + decontaminate.ITEM_WEIGHT * own.T @ own)
+    best = axes[:, np.argsort(values)[::-1][:6]]
+    got = block.vectors / idf[:, None]
+    assert np.allclose(got @ got.T, best @ best.T, atol=1e-3)
+
+
+def test_items_are_cut_by_their_words(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_TERMS", 5)
+    rows = [(0, "a b c", None), (1, "c d e", None), (2, "e f", None), (3, "a b c d e f g", None)]
+    table = spark.createDataFrame(rows, "id int, text string, answer string").coalesce(1)
+    found = [[r[0] for r in b] for b in decontaminate.item_blocks(table)]
+    assert found == [[0, 1], [2], [3]]
+
+
 def test_decontamination(spark, odd, none):
     g = random.Random(6)
     words = [f"t{i}" for i in range(3_000)]

@@ -1,11 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. The terms are the benchmark's words.  Their document frequencies are counted over
-   the whole corpus, a row per task and term, summed by Spark.
-2. A randomised SVD of the TF-IDF matrix of passages and items: tasks multiply their
-   passages with a random basis and back (``A' (A Q)``), the driver orthogonalises
-   terms x ``RANK`` numbers; ``POWER`` rounds.  It is fitted on a bounded choice of
-   about ``FIT_DOCS`` documents (a parameter) and all items; every passage is searched.
+1. The terms are the benchmark's words.  Tasks count over the whole corpus in how many
+   documents each is, and which of them share a block of ``BLOCK`` words.
+2. A randomised SVD of the TF-IDF matrix of all blocks of the corpus and all items:
+   ``A'A`` of a task is its counts of pairs, which it multiplies with a random basis;
+   Spark adds up the products, terms x (``RANK + OVERSAMPLE``) numbers, and the driver
+   takes their leading directions (Nystrom).  No document is left out of the fit.
 3. Passages of ``2 * BLOCK`` words, each ``BLOCK`` on from the last, are projected and
    compared with all items by cosine, the length being that before the projection.
    Words outside the benchmark count in that length as its median word.  A passage whose
@@ -18,9 +18,11 @@
    prove nothing.  The answer is the benchmark's ``answer`` column, or else the item's
    last ``ANSWER_WORDS`` words.
 
-Items are taken in blocks of ``BLOCK_ITEMS``, each with terms and a projection of its
-own, so what travels to the tasks is bounded per block.  Whatever the number of blocks,
-the corpus is read once for the document frequencies and once for the search.
+Items are taken in blocks of ``BLOCK_ITEMS``, or fewer where they have more than
+``BLOCK_TERMS`` words, each with terms and a projection of its own, so what travels to
+the tasks and what they count is bounded per block; a task holds a number for each pair
+of a block's terms.  The corpus is read once a block for the fit, and once in all for the
+search.
 
 An item shorter than ``LEAST_WORDS`` words has too little to be told by a share of it: it
 is a leak where all its words follow each other, in every text, with no retrieval before.
@@ -41,7 +43,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vexel.llm.common import (
-    hashed_below,
     segment_sums,
     steps,
     text_column,
@@ -50,8 +51,6 @@ from vexel.llm.common import (
 
 RANK = 256
 OVERSAMPLE = 8
-POWER = 1
-FIT_DOCS = 4_000
 BLOCK = 24
 COSINE = 0.2
 VERBATIM = 0.8
@@ -61,10 +60,18 @@ ANSWER_WORDS = 8
 ANSWER_SHARE = 0.6
 LEAST_WORDS = 8
 BLOCK_ITEMS = 256
-#: Items weigh so much in the fit that their own directions are kept: RANK holds a
-#: whole block of items, and directions left over are those of the corpus.
-ITEM_WEIGHT = 100.0
-_FIT_TASKS = 8
+#: Distinct words of a block of items, unless one item alone has more.
+BLOCK_TERMS = 4_096
+#: An item weighs this much of the whole corpus in the fit, so that the items' own
+#: directions are kept: RANK holds a whole block of items, and directions left over are
+#: those of the corpus.
+ITEM_WEIGHT = 0.0015
+#: Tasks of the fit for each core, so that its partial products do not grow in number.
+_FIT_TASKS = 4
+#: Terms whose products travel in one row.
+_CHUNK = 128
+#: Pairs counted before they are multiplied, which a 32-bit count holds.
+_PAIRS = 1 << 31
 #: Ranges summed at a time: their sums and one row each fit a core's cache.
 _SUM_ROWS = 512
 _SEED = 7
@@ -142,38 +149,6 @@ def _summed(
     return out
 
 
-def _count_terms(places: list[dict[str, int]]):
-    """Documents of a task by (block of items, term); a block of -1 counts all."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(len(place) + 1, np.int64) for place in places]
-        texts_seen = 0
-        for batch in batches:
-            texts = text_column(batch, "text")
-            for a, b in steps(texts):
-                words = Words(texts.slice(a, b - a))
-                owner = np.repeat(np.arange(b - a), np.diff(words.at))
-                for place, counts in zip(places, seen, strict=True):
-                    size = len(place) + 1
-                    terms = words.terms(place)
-                    known = terms < len(place)
-                    pairs = np.unique(owner[known] * size + terms[known])
-                    counts += np.bincount(pairs % size, minlength=size)
-                texts_seen += b - a
-        block, term, n = [np.array([-1])], [np.array([-1])], [np.array([texts_seen])]
-        for number, counts in enumerate(seen):
-            full = np.flatnonzero(counts)
-            block.append(np.full(len(full), number))
-            term.append(full)
-            n.append(counts[full])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(c)) for c in (block, term, n)],
-            names=["block", "term", "n"],
-        )
-
-    return run
-
-
 class Terms:
     """The words of a block of items and their inverse document frequencies.
 
@@ -184,103 +159,144 @@ class Terms:
         self.place = place
         self.idf = idf
 
-    @classmethod
-    def of_blocks(cls, docs: DataFrame, blocks: list[list[str]]) -> list[Terms]:
-        """The terms of each block of texts, counted over all documents (text)."""
-        places = []
-        for texts in blocks:
-            words = Words(pa.array(texts, pa.large_string()))
-            used = sorted({words.words[c] for c in words.codes})
-            places.append({w: i for i, w in enumerate(used)})
-        counts = (
-            docs.mapInArrow(_count_terms(places), "block bigint, term bigint, n bigint")
-            .groupBy("block", "term")
-            .agg(F.sum("n").alias("n"))
-        )
-        df, total = [np.zeros(len(place) + 1) for place in places], 0
-        for row in counts.toLocalIterator():  # at most one row per term of an item
-            if row["block"] < 0:
-                total = row["n"]
-            else:
-                df[row["block"]][row["term"]] = row["n"]
-        out = []
-        for place, found in zip(places, df, strict=True):
-            idf = np.log((1 + total) / (1 + found)) + 0.1
-            # Words outside weigh as the benchmark's words do in the middle.
-            idf[-1] = np.median(idf[:-1]) if place else 1.0
-            out.append(cls(place, idf))
-        return out
-
-
-def _gram_task(terms: Terms, basis: np.ndarray):
-    """Sum over a task's passages of ``a (a' Q)``, a row of numbers."""
+
+def _multiply(pairs: np.ndarray, basis: np.ndarray, product: np.ndarray) -> None:
+    """Add the symmetric matrix of the pairs, times the basis, to the product."""
+    for a in range(0, len(pairs), 256):
+        part = pairs[a : a + 256].astype(np.float32)
+        part += pairs[:, a : a + 256].T
+        product[a : a + 256] += part @ basis
+
+
+def _corpus_task(place: dict[str, int], basis: np.ndarray):
+    """Counts of a task's texts, and its pairs of terms times the basis.
+
+    A row per ``_CHUNK`` terms: documents and occurrences of each, and the products.
+    A chunk of -1 counts the texts, their blocks and their words that are no terms.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(basis.shape)
-        weights = terms.idf[:-1]
-        table = (weights[:, None] * basis).astype(np.float32)
+        size = len(place)
+        inside, seen = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        whole = np.zeros(3, np.int64)
+        pairs, held = np.zeros((size, size), np.uint32), 0
+        product = np.zeros(basis.shape)
         for batch in batches:
             texts = text_column(batch, "text")
-            weight = batch.column("weight").to_numpy()
-            for a, b in steps(texts, 1 << 18):
+            for a, b in steps(texts, 4 << 20):
                 words = Words(texts.slice(a, b - a))
-                found = words.terms(terms.place)
-                starts, first = words.blocks()
-                # An item is one row whatever its length.
-                row_weight = np.repeat(weight[a:b], np.diff(first))
-                keep = row_weight == 1
-                keep[first[:-1][first[1:] > first[:-1]]] = True
-                starts = np.append(starts[:-1][keep], starts[-1])
-                row_weight = row_weight[keep]
-                norm = segment_sums(terms.idf[found] ** 2, starts)
-                norm = np.where(norm > 0, norm, 1) / row_weight
-                known = found < len(weights)
-                at = np.concatenate([[0], np.cumsum(known)])[starts]
-                found = found[known]
-                if not len(found):
-                    continue
-                row = _summed(table, found, at[:-1], at[1:])
-                row /= norm[:, None].astype(np.float32)
-                each = np.repeat(row, np.diff(at), axis=0)
-                order = np.argsort(found, kind="stable")
-                used, where = np.unique(found[order], return_index=True)
-                sums = np.add.reduceat(each[order], where, axis=0)
-                total[used] += weights[used, None] * sums
+                terms = words.terms(place)
+                known = terms < size
+                found = terms[known]
+                owner = np.repeat(np.arange(b - a), np.diff(words.at))[known]
+                once = np.sort(owner * size + found)
+                once = once[np.flatnonzero(np.diff(once, prepend=-1))]
+                inside += np.bincount(once % size, minlength=size)
+                seen += np.bincount(found, minlength=size)
+                starts, _ = words.blocks()
+                whole += [b - a, len(starts) - 1, len(terms) - len(found)]
+                block = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[known]
+                for gap in range(1, BLOCK):
+                    both = np.flatnonzero(block[gap:] == block[:-gap])
+                    if not len(both):
+                        break
+                    at = found[both] * size + found[both + gap]
+                    # Ones of the counts' own type, or every one of them is converted.
+                    np.add.at(pairs.reshape(-1), at, np.ones(len(at), pairs.dtype))
+                    held += len(both)
+                if held > _PAIRS:
+                    _multiply(pairs, basis, product)
+                    pairs[:], held = 0, 0
+        _multiply(pairs, basis, product)
+        product += seen[:, None] * basis
+        chunk, counts, sums = [-1], [whole.tobytes()], [b""]
+        for at in range(0, size, _CHUNK):
+            part = slice(at, at + _CHUNK)
+            chunk.append(at // _CHUNK)
+            counts.append(np.stack([inside[part], seen[part]]).tobytes())
+            sums.append(product[part].astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([total.astype(np.float32).tobytes()])], names=["part"]
+            [pa.array(chunk, pa.int64()), pa.array(counts), pa.array(sums)],
+            names=["chunk", "counts", "sums"],
         )
 
     return run
 
 
-def fit_projection(
-    docs: DataFrame, items: DataFrame, terms: Terms, fit_docs: int = FIT_DOCS
-) -> np.ndarray:
-    """(terms, RANK): weighted words in the latent space.  ``docs`` are (id, text)."""
-    share = min(1.0, fit_docs / max(1, docs.count()))
-    sample = (
-        docs.where(hashed_below("id", F.lit(share)))
-        .select("text", F.lit(1.0).alias("weight"))
-        .union(items.select("text", F.lit(ITEM_WEIGHT).alias("weight")))
-        # By a number of the row, for copies of one text may be many.
-        .repartition(_FIT_TASKS, F.monotonically_increasing_id())
-        # No more partial products than that, also where a session spreads wider.
-        .coalesce(_FIT_TASKS)
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of each chunk, with its sums."""
+    counts: dict[int, np.ndarray] = {}
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            chunk = row["chunk"]
+            counts[chunk] = counts.get(chunk, 0) + np.frombuffer(row["counts"], np.int64)
+            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(row["sums"], np.float32).astype(
+                np.float64
+            )
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(list(counts), pa.int64()),
+            pa.array([c.tobytes() for c in counts.values()], pa.binary()),
+            pa.array([s.tobytes() for s in sums.values()], pa.binary()),
+        ],
+        names=["chunk", "counts", "sums"],
     )
-    size = len(terms.place)
+
+
+def fit_projection(docs: DataFrame, texts: list[str]) -> tuple[Terms, np.ndarray]:
+    """The terms of some items, and (terms, RANK): their weighted place in the latent space.
+
+    Counted and fitted over every row of ``docs (text)``, which is read once.
+    """
+    words = Words(pa.array(texts, pa.large_string()))
+    used = sorted({words.words[c] for c in words.codes})
+    place = {w: i for i, w in enumerate(used)}
+    size = len(place)
     width = min(size, RANK + OVERSAMPLE)
-    basis = np.random.default_rng(_SEED).standard_normal((size, width))
-    for _ in range(POWER + 1):
-        basis, _ = np.linalg.qr(basis)
-        product = np.zeros((size, width))
-        # _FIT_TASKS rows of terms x width numbers, whatever the corpus.
-        for row in sample.mapInArrow(_gram_task(terms, basis), "part binary").collect():
-            product += np.frombuffer(row["part"], np.float32).reshape(size, width)
-        small = basis.T @ product
-        values, turn = np.linalg.eigh((small + small.T) / 2)
-        rotated = basis @ turn[:, np.argsort(values)[::-1]]
-        basis = product
-    return (terms.idf[:-1, None] * rotated[:, :RANK]).astype(np.float32)
+    basis = np.random.default_rng(_SEED).standard_normal((size, width), np.float32)
+    inside, seen = np.zeros(size), np.zeros(size)
+    product, whole = np.zeros((size, width)), np.zeros(3)
+    if size:
+        columns = "chunk bigint, counts binary, sums binary"
+        cores = docs.sparkSession.sparkContext.defaultParallelism
+        parts = (
+            docs.coalesce(_FIT_TASKS * cores)
+            .mapInArrow(_corpus_task(place, basis), columns)
+            .repartition(_FIT_TASKS, "chunk")
+            .mapInArrow(_added, columns)
+        )
+        for row in parts.toLocalIterator():  # terms x width numbers, whatever the corpus
+            counts = np.frombuffer(row["counts"], np.int64)
+            if row["chunk"] < 0:
+                whole = counts
+                continue
+            part = slice(row["chunk"] * _CHUNK, (row["chunk"] + 1) * _CHUNK)
+            inside[part], seen[part] = counts.reshape(2, -1)
+            product[part] = np.frombuffer(row["sums"]).reshape(-1, width)
+    idf = np.log((1 + whole[0]) / (1 + inside)) + 0.1
+    # Words outside weigh as the benchmark's words do in the middle.
+    idf = np.append(idf, np.median(idf) if size else 1.0)
+    terms = Terms(place, idf)
+    # All blocks of the corpus have a squared length of 1 together.
+    length = (seen * idf[:-1] ** 2).sum() + whole[2] * idf[-1] ** 2
+    product *= idf[:-1, None] / (length or 1)
+    # The product is that of the weighted terms with a basis weighted the other way.
+    basis = basis / idf[:-1, None]
+    found = words.terms(place)
+    rows = np.zeros((len(texts), size))
+    for row, a, b in zip(rows, words.at, words.at[1:], strict=False):
+        if a < b:
+            np.add.at(row, found[a:b], idf[found[a:b]])
+            row /= np.sqrt((idf[found[a:b]] ** 2).sum())
+    product += ITEM_WEIGHT * (rows.T @ (rows @ basis))
+    core = basis.T @ product
+    values, turn = np.linalg.eigh((core + core.T) / 2)
+    # Below this they are the rounding of the partial products.
+    kept = values > 1e-7 * max(values.max(initial=0), 0)
+    half = product @ (turn[:, kept] / np.sqrt(values[kept]))
+    axes = np.linalg.svd(half, full_matrices=False)[0][:, :RANK]
+    return terms, (idf[:-1, None] * axes).astype(np.float32)
 
 
 class Items:
@@ -446,10 +462,15 @@ def _short_leaks(words: Words, terms: np.ndarray, items: Items) -> Iterator[tupl
 def item_blocks(benchmark: DataFrame) -> list[list[tuple]]:
     """The benchmark (id, text, answer), the stated query set, in blocks of items."""
     blocks: list[list[tuple]] = []
+    terms: set[str] = set()
     for row in benchmark.toLocalIterator():
-        if not blocks or len(blocks[-1]) == BLOCK_ITEMS:
+        own = set(_plain_words(row["text"] or ""))
+        full = blocks and len(blocks[-1]) == BLOCK_ITEMS
+        if not blocks or full or len(terms | own) > BLOCK_TERMS:
             blocks.append([])
+            terms = set()
         blocks[-1].append((row["id"], row["text"], row["answer"]))
+        terms |= own
     return blocks
 
 
@@ -489,21 +510,17 @@ def find_leaks(
 
 def prepare(rows: DataFrame, benchmark: DataFrame, item: str, answer: str | None):
     """The blocks of items, fitted on ``rows (id, text)`` and sent to the tasks."""
-    spark = rows.sparkSession
     asked = benchmark.select(
         F.col(item).cast("bigint").alias("id"),
         F.col("text").alias("text"),
         (F.col(answer) if answer else F.lit(None).cast("string")).alias("answer"),
     )
     blocks = []
-    asked_blocks = item_blocks(asked)
-    texts_of = [[t or "" for _, t, _ in block] for block in asked_blocks]
-    counted = Terms.of_blocks(rows.select("text"), texts_of) if asked_blocks else []
-    for block, texts, terms in zip(asked_blocks, texts_of, counted, strict=True):
+    for block in item_blocks(asked):
+        terms, vectors = fit_projection(rows.select("text"), [t or "" for _, t, _ in block])
         if terms.place:
-            items = spark.createDataFrame([(t,) for t in texts], "text string")
-            blocks.append(Items(block, terms, fit_projection(rows, items, terms)))
-    return spark.sparkContext.broadcast(blocks)
+            blocks.append(Items(block, terms, vectors))
+    return rows.sparkSession.sparkContext.broadcast(blocks)
 
 
 def _leaks_of(texts: pa.Array, blocks: list[Items]) -> tuple[list[set], list]:
