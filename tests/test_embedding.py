@@ -252,6 +252,25 @@ def test_frequent_tokens_get_the_same_ids(spark, monkeypatch, share):
         assert r.input_ids == [known.get(w, 100) for w in rows[r.k][1].split()]
 
 
+def test_frequent_tokens_stay_with_their_text(spark, monkeypatch):
+    """They are gone before the exchange by token, and may have no id."""
+    monkeypatch.setattr(encoding, "SAMPLED", 1)
+    rows = [(i, f"the cat {'odd' if i == 3 else 'sat'}") for i in range(8)] + [(8, ""), (9, None)]
+    df = spark.createDataFrame(rows, "k int, text string")
+    vocab = spark.createDataFrame(
+        [("the", 5), ("cat", None), ("sat", 7), ("odd", 8)], "token string, id bigint"
+    )
+    out = encode_tokens(df, vocab, key=["k"], with_special=False, max_len=64, pad_to=1)
+    sent = [
+        line.split("LeftAnti")[1]
+        for line in out._jdf.queryExecution().sparkPlan().toString().splitlines()
+        if "LeftAnti" in line
+    ]
+    assert len(sent) == 1
+    got = {r.k: r.input_ids for r in out.collect()}
+    assert got == {i: [5, 100, 8 if i == 3 else 7] for i in range(8)} | {8: [0], 9: [0]}
+
+
 class Recording(EmbeddingModel):
     """Notes the process that loads it."""
 
