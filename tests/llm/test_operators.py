@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -239,6 +240,33 @@ def test_leaks_do_not_depend_on_item_blocks(spark, monkeypatch):
         assert {r["doc_id"]: r["items"] for r in found} == want
 
 
+@pytest.mark.parametrize("segments", [2, 3, 4, 5])
+def test_near_links_probe_each_pair_from_one_side(spark, segments):
+    """All pairs, and about half of the ball for each fingerprint."""
+    rng = np.random.default_rng(segments)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64) * np.uint64(2)
+    fps = {int(b) for b in base} | {0, (1 << 64) - 1}
+    for b in base:
+        for flips in (1, 2, 3, 4, 5):
+            fps.add(int(b) ^ sum(1 << int(x) for x in rng.choice(64, flips, replace=False)))
+    signed = sorted(simhash._signed(f) for f in fps)
+    nodes = spark.createDataFrame([(f, f) for f in signed], "fp bigint, g bigint")
+    got = {(r["u"], r["v"]) for r in simhash.near_links(nodes, segments).collect()}
+    mask = (1 << 64) - 1
+    want = {
+        (a, b) for i, a in enumerate(signed) for b in signed[i + 1:]
+        if ((a ^ b) & mask).bit_count() <= simhash.MAX_DISTANCE
+    }
+    assert got == want
+    radius = simhash.MAX_DISTANCE // segments
+    sent = simhash._keyed(nodes, "u", segments, radius).count() / len(signed)
+    ball = sum(
+        math.comb(width, r)
+        for _, width in simhash._segments(segments) for r in range(radius + 1)
+    )
+    assert sent <= 0.6 * ball or radius == 0
+
+
 def test_the_fit_counts_every_document(spark, monkeypatch):
     """Against the leading directions of all blocks, worked out in numpy."""
     rng = np.random.default_rng(5)

@@ -3,7 +3,8 @@
 A fingerprint is cut into ``m`` segments.  Two fingerprints that differ in at most
 ``d`` bits differ in at most ``d // m`` bits of some segment, so each fingerprint
 looks up, per segment, the small Hamming ball of that radius round its own value in
-the table of all segment values, and whole distances are verified in the join.
+the table of all segment values, and whole distances are verified in the join.  Of two
+different values only the smaller looks up the larger.
 
 Documents meet by fingerprint only: equal fingerprints are one node, so a group of
 copies of any size is one row here.  Verified links that already hang together are
@@ -122,10 +123,14 @@ def _lookups(segments: int, radius: int):
 
 
 def _keyed(nodes: DataFrame, name: str, segments: int, radius: int) -> DataFrame:
-    """(key, name, group): the table for radius 0, the probes for a larger one."""
+    """(key, name, group): the table for radius 0, the probes for a larger one.
+
+    Of two values the smaller one probes for the larger, so half of a ball is sent.
+    """
     each = nodes.select("fp", "g", F.explode(_lookups(segments, radius)).alias("s"))
     value = F.expr("shiftrightunsigned(fp ^ s.flip, s.first) & s.low")
-    return each.select(
+    own = F.expr("shiftrightunsigned(fp, s.first) & s.low")
+    return each.where(value >= own).select(
         (value + F.col("s.segment") * F.lit(1 << 40)).alias("key"),
         F.col("fp").alias(name),
         F.col("g").alias(f"{name}_g"),
@@ -183,13 +188,26 @@ def near_links(
     """
     table = _keyed(nodes, "v", segments, 0)
     probes = _keyed(nodes, "u", segments, max_distance // segments)
+    differing = F.col("u").bitwiseXOR(F.col("v"))
+    number = F.shiftright(table["key"], 40)
+    # Equal values of the segment meet from both sides.
+    moved = F.lit(False)
+    for at, (first, width) in enumerate(_segments(segments)):
+        part = F.shiftrightunsigned(differing, first).bitwiseAND(F.lit((1 << width) - 1))
+        moved = moved | ((number == at) & (part != 0))
     near = (
-        (F.col("u") < F.col("v"))
-        & (F.col("u_g") != F.col("v_g"))
-        & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_distance)
+        (F.col("u_g") != F.col("v_g"))
+        & (F.bit_count(differing) <= max_distance)
+        & ((F.col("u") < F.col("v")) | moved)
     )
     met = probes.join(table, (probes["key"] == table["key"]) & near)
-    return met.select("u", "v", "u_g", "v_g")
+    ordered = F.col("u") < F.col("v")
+    return met.select(
+        F.least("u", "v").alias("u"),
+        F.greatest("u", "v").alias("v"),
+        F.when(ordered, F.col("u_g")).otherwise(F.col("v_g")).alias("u_g"),
+        F.when(ordered, F.col("v_g")).otherwise(F.col("u_g")).alias("v_g"),
+    )
 
 
 def _components(
