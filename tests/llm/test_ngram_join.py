@@ -115,6 +115,46 @@ def test_prefixes_never_miss():
         assert ((n - index) * (100 + percent) < 2 * n * percent).all()
 
 
+@pytest.mark.parametrize("sizes", [(1, 1), (40, 40), (90, 100), (500, 530), (3_000, 3_600)])
+def test_small_parts_never_miss_and_rule_out(sizes):
+    g = np.random.default_rng(5)
+    for shared in (0, sizes[0] // 2, sizes[0]):
+        drawn = g.integers(0, 1 << 64, sum(sizes), np.uint64, endpoint=False)
+        a, b = drawn[: sizes[0]], drawn[sizes[0] - shared : sum(sizes) - shared]
+        most = ngram_join.most_common(*(ngram_join._small_parts(x) for x in (a, b)))
+        assert shared <= most <= sizes[0]
+        if sizes[0] >= 500 and shared < sizes[0]:
+            assert most < 0.85 * sizes[0]
+    # Too many in one part: nothing is told, and the pair is compared.
+    assert ngram_join._small_parts(np.arange(16, dtype=np.uint64) << np.uint64(32)) is None
+
+
+def test_whole_sets_only_of_pairs_that_may_link(spark, monkeypatch):
+    g = random.Random(3)
+    same, one, other = ([f"v{g.random()}" for _ in range(n)] for n in (820, 180, 180))
+    # What the first two do not share is in long texts too, so what they share is rarest.
+    texts = [" ".join(same + one), " ".join(same + other)]
+    texts += [texts[0] + " more", texts[0]]
+    for _ in range(3):
+        texts.append(" ".join(one + other + [f"v{g.random()}" for _ in range(4_000)]))
+    wanted, written = [], []
+
+    def whole(docs, text, width, nodes, fetch=ngram_join._whole_sets):
+        wanted.append(nodes.count())
+        return fetch(docs, text, width, nodes)
+
+    def stage(df, purpose, write=ngram_join.stage):
+        written.append(purpose)
+        return write(df, purpose)
+
+    monkeypatch.setattr(ngram_join, "_whole_sets", whole)
+    monkeypatch.setattr(ngram_join, "stage", stage)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = ngram_join.near_duplicates(docs).select("doc_id", "component").collect()
+    assert dict(map(tuple, found)) == {0: 0, 1: 1, 2: 0, 3: 0, 4: 4, 5: 5, 6: 6}
+    assert max(wanted) == 2 and "sets" not in written
+
+
 def test_odd_tables(spark):
     rows = [(1, "x" * 1_000_000), (2, "word " * 200_000), (2, "word " * 200_000), (3, None)]
     docs = spark.createDataFrame(

@@ -6,7 +6,9 @@ rare shingles first.  Two linked sets then share a shingle among the first few o
 (prefix filter), so sets meet only on those; a meeting counts only if the sizes allow a
 link (length filter), if enough shingles follow on both sides (positional filter) and
 if the sizes of the sets' parts, told apart by hash, add up to the overlap needed
-(suffix filter).  Each pair that is left is compared once, on whole sets.
+(suffix filter, first with few parts of every set that meets another, then with parts of
+one or two shingles of the sets whose pairs are left).  Each pair that is left is compared
+once, on whole sets.
 
 Rarity is the number of documents with a shingle of the same hash class
 (``2 ** CLASS_BITS`` classes, counted over all documents): any total order gives the
@@ -56,6 +58,8 @@ CLASS_BITS = 20
 _COUNTERS_A_ROW = 1 << 12
 #: Parts of a set for the suffix filter.
 PARTS = 16
+#: Shingles a small part of a set has at most on average; a half byte counts them.
+_PART_MEMBERS = 2
 #: Bits of the maps that keep what meets nothing out of a shuffle: 8 MB each.
 _MAP_BITS = 26
 #: Bits of a shingle that are compared when it is asked which ones meet at all.
@@ -227,15 +231,43 @@ def _parts(h: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(sizes))
 
 
+def _small_parts(h: np.ndarray) -> bytes | None:
+    """How many members of a set are in each of its small parts, a half byte each.
+
+    Their number is a power of two that follows the set's size, so those of a longer set
+    add up to those of a shorter one.  None if a count does not fit.
+    """
+    size = PARTS
+    while size * _PART_MEMBERS < len(h):
+        size *= 2
+    counts = np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    if counts.max() > 15:
+        return None
+    return (counts[0::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+
+
+def _part_sizes(raw: bytes) -> np.ndarray:
+    packed = np.frombuffer(raw, np.uint8)
+    return np.stack([packed & 15, packed >> 4], axis=1).ravel().astype(np.int64)
+
+
+def most_common(a: bytes, b: bytes) -> int:
+    """The most members that two sets with these small parts can share."""
+    x, y = _part_sizes(a), _part_sizes(b)
+    size = min(len(x), len(y))
+    x, y = (z.reshape(-1, size).sum(axis=0) for z in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
 _SIGNS = (
-    "key {kind}, node bigint, other bigint, n bigint, parts array<int>, part bigint, "
-    "counts binary"
+    "key {kind}, node bigint, other bigint, n bigint, parts array<int>, small binary, "
+    "part bigint, counts binary"
 )
 
 
 def marks(docs: DataFrame, key: str, text: str, width: int = WIDTH) -> DataFrame:
-    """(key, node, other, n, parts) of each row: its set's digest in two halves, its
-    size, and the sizes of its parts by hash.
+    """(key, node, other, n, parts, small) of each row: its set's digest in two halves,
+    its size, and the sizes of its parts and small parts by hash.
 
     At its end a task also gives its counters of shingle classes, in rows with ``part``
     and ``counts``, so that the texts are read once for both.
@@ -247,20 +279,23 @@ def marks(docs: DataFrame, key: str, text: str, width: int = WIDTH) -> DataFrame
             self.counts = np.zeros(1 << CLASS_BITS, np.uint32)
             self.key_type = to_arrow_type(kind)
 
-        def rows(self, key, node, other, n, parts, part, counts):
+        def rows(self, key, node, other, n, parts, small, part, counts):
             return pa.RecordBatch.from_arrays(
                 [key, *(pa.array(c, pa.int64()) for c in (node, other, n)), parts,
-                 pa.array(part, pa.int64()), pa.array(counts, pa.binary())],
-                names=["key", "node", "other", "n", "parts", "part", "counts"],
+                 pa.array(small, pa.binary()), pa.array(part, pa.int64()),
+                 pa.array(counts, pa.binary())],
+                names=["key", "node", "other", "n", "parts", "small", "part", "counts"],
             )
 
         def step(self, rows, h, at):
             np.add.at(self.counts, (h >> np.uint64(64 - CLASS_BITS)).astype(np.int64), 1)
             digests = _digests(h, at)
             none = [None] * len(digests)
+            cuts = at.tolist()
+            small = [_small_parts(h[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
             return self.rows(
                 rows.column(0), [d[0] for d in digests], [d[1] for d in digests],
-                np.diff(at), _parts(h, at), none, none,
+                np.diff(at), _parts(h, at), small, none, none,
             )
 
         def finish(self):
@@ -271,7 +306,7 @@ def marks(docs: DataFrame, key: str, text: str, width: int = WIDTH) -> DataFrame
                 none = [None] * len(some)
                 yield self.rows(
                     pa.nulls(len(some), self.key_type), none, none, none,
-                    pa.nulls(len(some), pa.list_(pa.int32())), some,
+                    pa.nulls(len(some), pa.list_(pa.int32())), none, some,
                     [counters[i].tobytes() for i in some],
                 )
 
@@ -439,7 +474,7 @@ def _whole_sets(docs: DataFrame, text: str, width: int, wanted: DataFrame) -> Da
     """(node, members) of the ``wanted`` nodes.
 
     A map of them keeps most other sets out of the shuffle; the join then keeps the
-    right ones.
+    right ones.  They are not written: joins by node take them from that one shuffle.
     """
     mapped = _Bits(wanted)
 
@@ -465,42 +500,81 @@ def _whole_sets(docs: DataFrame, text: str, width: int, wanted: DataFrame) -> Da
             )
 
     found = _each_set(docs, text, width, [], "node bigint, members binary", Members)
-    return stage(
-        found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets"
-    )
+    return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+
+
+def _small_parts_of(marked: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, small) of the ``wanted`` nodes, as :func:`_whole_sets`."""
+    mapped = _Bits(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # a task gives the copies of a set once
+        for batch in batches:
+            nodes = batch.column("node").to_numpy()
+            found = []
+            for i in np.flatnonzero(mapped.have(nodes)).tolist():
+                if nodes[i] not in seen:
+                    seen.add(nodes[i])
+                    found.append(i)
+            yield batch.take(pa.array(found, pa.int64()))
+
+    found = marked.where("n > 0").select("node", "small")
+    found = found.mapInArrow(run, "node bigint, small binary")
+    return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
 # --- pairs ----------------------------------------------------------------------
 
 
-def _compare(pairs: DataFrame, ready: _Prepared, percent: int) -> DataFrame:
-    """(u, v, overlap) of the linked among ``pairs (u, v)``, each compared once."""
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+
 
-    def side(table: DataFrame, name: str, *columns: str) -> DataFrame:
-        return table.select(
+def _joined(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """``pairs (u, v)`` with columns of both nodes."""
+    for name in ("v", "u"):
+        side = table.select(
             F.col("node").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in columns)
         )
+        pairs = pairs.join(side, name)
+    return pairs
 
-    sized = pairs
-    for name in ("v", "u"):
-        sized = sized.join(side(ready.sizes, name, "n", "parts"), name)
+
+def _closer(pairs: DataFrame, ready: _Prepared) -> DataFrame:
+    """Those of ``pairs (u, v, least)`` whose small parts allow the overlap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v, least = (batch.column(c).to_pylist() for c in ("u_small", "v_small", "least"))
+            keep = [
+                a is None or b is None or most_common(a, b) >= n
+                for a, b, n in zip(u, v, least, strict=True)
+            ]
+            yield batch.select(["u", "v", "least"]).filter(pa.array(keep, pa.bool_()))
+
+    both = _joined(pairs, _small_parts_of(ready.marked, _nodes(pairs)), "small")
+    small = {"spark__sql__execution__arrow__maxRecordsPerBatch": str(BATCH_PAIRS)}
+    with conf(ready.docs.sparkSession, **small):
+        return stage(both.mapInArrow(run, "u bigint, v bigint, least bigint"), "closer")
+
+
+def _compare(pairs: DataFrame, ready: _Prepared, percent: int) -> DataFrame:
+    """(u, v, overlap) of the linked among ``pairs (u, v)``, each compared once."""
+    sized = _joined(pairs, ready.sizes, "n", "parts")
     most = F.aggregate(
         F.zip_with("u_parts", "v_parts", lambda a, b: F.least(a, b)),
         F.lit(0), lambda a, b: a + b,
     )
-    # The suffix filter.
+    # The suffix filter, with parts that are few and then with small ones.
     likely = stage(
         sized.withColumn("least", needed(F.col("u_n"), F.col("v_n"), percent))
         .where(most >= F.col("least"))
         .select("u", "v", "least"),
         "likely",
     )
+    closer = _closer(likely, ready)
     # Only the sets that are left to compare are made again and shuffled.
-    nodes = likely.select(F.col("u").alias("node")).union(likely.select("v")).distinct()
-    sets = ready.sets_of(nodes)
-    whole = likely
-    for name in ("v", "u"):
-        whole = whole.join(side(sets, name, "members"), name)
+    whole = _joined(closer, ready.sets_of(_nodes(closer)), "members")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -525,7 +599,7 @@ def _compare(pairs: DataFrame, ready: _Prepared, percent: int) -> DataFrame:
         links = stage(
             whole.mapInArrow(run, "u bigint, v bigint, overlap bigint"), "links"
         )
-    drop_stage(likely, sets)
+    drop_stage(likely, closer)
     return links
 
 
@@ -610,7 +684,7 @@ class _Prepared:
         self, docs: DataFrame, marked: DataFrame, text: str, width: int, percent: int
     ) -> None:
         counts = docs.sparkSession.sparkContext.broadcast(class_counts(marked))
-        self.docs, self.text, self.width = docs, text, width
+        self.docs, self.marked, self.text, self.width = docs, marked, text, width
         self.entries = _meetings(docs, text, counts, width, percent)
         wanted = self.entries.select("node").distinct()
         self.sizes = stage(
