@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.brute_lines import brute
 from vexel.llm import decontaminate, langid, line_dedup, packing, quality, secret_scan
-from vexel.llm import simhash, token_codes, toxicity, warc
+from vexel.llm import simhash, token_codes, toxicity, warc, word_tokens
 from vexel.llm.components import connected_components
 from vexel.llm.line_dedup import dedup_lines
 
@@ -416,6 +416,16 @@ def test_language(spark, none):
     assert langid.predict(none, langid.fit(none)).count() == 0
 
 
+def test_capital_letters_are_learned_as_small_ones(library):
+    words = word_tokens.WordEncoder(packing.vocabulary_path())
+    texts = pa.array(["Élan élan ÉLAN, Ÿłó ÿŁÓ Ŀa", "İstanbul Σας ẞa ǅa É1 é1"])
+    ids, at = words.encode(texts)
+    got = [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)]
+    assert got == [library(t) for t in texts.to_pylist()]
+    assert {"élan", "ÿłó", "ŀa"} < set(words._slot)
+    assert not {"Élan", "ÉLAN", "Ÿłó", "ÿŁÓ", "Ŀa"} & set(words._slot)
+
+
 def test_token_codes_round_trip(spark, odd, none, library, tmp_path):
     rng = np.random.default_rng(1)
     ids = rng.integers(0, 2**32, 3_000).astype(np.uint32) >> rng.integers(0, 32, 3_000).astype(np.uint32)

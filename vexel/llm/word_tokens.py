@@ -25,7 +25,8 @@ ENCODE_BYTES = 4 << 20
 #: A word that may be cut before its last sign: letters that are letters in every
 #: Unicode version and compose with nothing behind them.
 _LETTERS_AND_SIGN = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+[.,;:!?]$"
-
+#: Each of these letters has one small letter, whatever stands beside it.
+_ANY_LETTERS = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+$"
 _LETTERS = "^[a-zß-öø-įı-ſ]+$"
 _TOGETHER = 1_000
 #: What the vocabulary puts behind the last token of each piece.
@@ -108,8 +109,11 @@ class WordEncoder:
         signed = pc.match_substring_regex(words, _LETTERS_AND_SIGN)
         tails = pc.if_else(signed, pc.utf8_slice_codeunits(words, -1, None), "")
         heads = pc.if_else(signed, pc.utf8_slice_codeunits(words, 0, -1), words)
-        # Beyond ASCII the library lowers the letters by its own rules.
-        heads = pc.if_else(pc.string_is_ascii(heads), pc.ascii_lower(heads), heads)
+        # Other letters the library lowers by its own rules.
+        plain = pc.or_(
+            pc.string_is_ascii(heads), pc.match_substring_regex(heads, _ANY_LETTERS)
+        )
+        heads = pc.if_else(plain, pc.utf8_lower(heads), heads)
         return self._slot_array(heads), self._slot_array(tails)
 
     def _slot_array(self, parts: pa.Array) -> np.ndarray:
@@ -119,22 +123,23 @@ class WordEncoder:
         slots = np.fromiter(found, np.int32, len(unique))
         new = np.flatnonzero(slots < 0)
         if len(new):
-            slots[new] = self._learn(coded.dictionary.take(pa.array(new)))
+            words = list(map(unique.__getitem__, new.tolist()))
+            slots[new] = self._learn(coded.dictionary.take(pa.array(new)), words)
         self._hits[slots] += 1
         return slots[coded.indices.to_numpy()]
 
-    def _learn(self, new: pa.Array) -> np.ndarray:
+    def _learn(self, new: pa.Array, words: list[str]) -> np.ndarray:
         # Words of letters alone are one piece each, so many go into one text and its
         # pieces, told by their ends, are theirs in order; the others go one by one.
         slots = np.zeros(len(new), np.int32)
         letters = pc.match_substring_regex(new, _LETTERS).to_numpy(zero_copy_only=False)
-        for at, part in _parts(new, np.flatnonzero(letters)):
+        for at, part in _parts(words, np.flatnonzero(letters)):
             ids = np.array(self._encode([" ".join(part)])[0].ids, np.uint32)
             ends = np.flatnonzero(self._closes[ids]) + 1
             if len(ends) != len(part):
                 raise ValueError("the vocabulary does not mark the ends of words")
             slots[at] = self._store(part, ids, ends)
-        for at, part in _parts(new, np.flatnonzero(~letters)):
+        for at, part in _parts(words, np.flatnonzero(~letters)):
             ids = [e.ids for e in self._encode(part)]
             flat = np.array([i for x in ids for i in x], np.uint32)
             slots[at] = self._store(part, flat, np.cumsum([len(x) for x in ids]))
@@ -155,8 +160,8 @@ class WordEncoder:
         return np.arange(slots.start, slots.stop, dtype=np.int32)
 
 
-def _parts(words: pa.Array, places: np.ndarray):
+def _parts(words: list[str], places: np.ndarray):
     """Some of the words in bounded lists, each with their places."""
     for at in range(0, len(places), _TOGETHER):
         some = places[at : at + _TOGETHER]
-        yield some, words.take(pa.array(some)).to_pylist()
+        yield some, [words[i] for i in some.tolist()]
